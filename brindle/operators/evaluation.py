@@ -106,20 +106,17 @@ def drift(
     )
     bins = rows.sparkSession.range(n, numPartitions=1).withColumnRenamed("id", "bin")
     over_bins = Window.partitionBy(F.lit(0))
+
+    def share(count: str) -> Column:
+        total = F.sum(count).over(over_bins)
+        return F.when(total > 0, F.greatest(F.col(count) / total, F.lit(floor)))
+
     shares = (
         bins.join(F.broadcast(counted), "bin", "left")
         .na.fill(0, ["n_a", "n_b"])
-        .select(
-            "*",
-            *[
-                F.greatest(
-                    F.col(c) / F.nullif(F.sum(c).over(over_bins), F.lit(0)), F.lit(floor)
-                ).alias(f"p_{c}")
-                for c in ("n_a", "n_b")
-            ],
-        )
+        .select("*", share("n_a").alias("a"), share("n_b").alias("b"))
     )
-    term = fixed_point((F.col("p_n_a") - F.col("p_n_b")) * F.ln(F.col("p_n_a") / F.col("p_n_b")))
+    term = fixed_point((F.col("a") - F.col("b")) * F.ln(F.col("a") / F.col("b")))
     return shares.select("bin", "n_a", "n_b", term.alias("term_e9")).withColumn(
         "psi_e9", F.sum("term_e9").over(over_bins)
     )

@@ -13,13 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import exact_sum, scaled
+from brindle.sources.scratch import new_place
 
 # Slots into which each pass of ``cut_points`` divides a stretch of the axis.
 SLOTS = 10_000
 
-# Category tables up to this many rows (two numbers each) are broadcast.
-MOST_BROADCAST = 500_000
-
 
 def standardise(
     rows: DataFrame,
@@ -61,33 +59,33 @@ def standardise(
     return rows.select(*keep, *out)
 
 
-def cut_points(rows: DataFrame, value: Column, n: int) -> list[int]:
+def cut_points(rows: DataFrame, value: Column, n: int) -> list[int] | None:
     """The n-1 interpolated quantiles of bigint ``value``, times n to stay whole.
 
-    Exact, as the ``percentile`` aggregate is, but that one holds all distinct
-    values in one task. This narrows down: each pass counts the rows per slot in
-    the stretches that enclose a quantile, and keeps the enclosing slots, until
-    slots are single values. Bins of 10^4 slots reach a single value of a range
-    of 10^12 in three passes, which shuffle slot counts only.
+    None without values. Exact, as the ``percentile`` aggregate is, but that one
+    holds all distinct values in one task. This narrows down: each pass counts the
+    rows per slot in the stretches that enclose a quantile and keeps the enclosing
+    slots, until a slot is a single value. With 10^4 slots a range of 10^12 takes
+    three passes, and only slot counts are shuffled.
     """
     axis = rows.select(value.alias("x")).where(F.col("x").isNotNull())
-    ends = axis.agg(F.count("*"), F.min("x"), F.max("x")).first()
-    total, low, high = ends
+    total, low, high = axis.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if not total:
-        return []
+        return None
     positions = [divmod((total - 1) * i, n) for i in range(1, n)]
     ranks = sorted({rank + extra for rank, rest in positions for extra in (0, bool(rest))})
 
     width = 1
     while width * SLOTS <= high - low:
         width *= SLOTS
-    stretch = width * SLOTS
-    enclosing = {rank: (low, 0) for rank in ranks}  # start of the stretch, rows before it
-    while True:
-        enclosing = _narrow(axis, low, enclosing, stretch, width)
+    # rank -> start of the stretch that holds it, rows before that stretch
+    enclosing = {rank: (0, 0) for rank in ranks}
+    stretch = F.lit(0)
+    while ranks:
+        enclosing = _narrow(axis, stretch, _slot(width), enclosing)
         if width == 1:
             break
-        stretch, width = width, width // SLOTS
+        stretch, width = _slot(width), width // SLOTS
 
     def at(rank: int) -> int:
         return enclosing[rank][0]
@@ -98,20 +96,19 @@ def cut_points(rows: DataFrame, value: Column, n: int) -> list[int]:
     ]
 
 
-def _narrow(
-    axis: DataFrame, low: int, enclosing: dict[int, tuple[int, int]], stretch: int, width: int
-) -> dict[int, tuple[int, int]]:
-    """For each rank, the slot of ``width`` that holds it and the rows before that."""
+def _slot(width: int) -> Column:
+    return F.col("x") - F.pmod(F.col("x"), F.lit(width))
 
-    def start(size: int) -> Column:
-        offset = F.col("x") - F.lit(low)
-        return F.col("x") - F.pmod(offset, F.lit(size))
 
+def _narrow(
+    axis: DataFrame, stretch: Column, slot: Column, enclosing: dict[int, tuple[int, int]]
+) -> dict[int, tuple[int, int]]:
+    """For each rank, the start of the slot that holds it and the rows before that."""
     stretches = sorted({begin for begin, _ in enclosing.values()})
     counts = (
-        axis.select("x", start(stretch).alias("stretch"))
+        axis.select("x", stretch.alias("stretch"))
         .where(F.col("stretch").isin(stretches))
-        .groupBy("stretch", start(width).alias("slot"))
+        .groupBy("stretch", slot.alias("slot"))
         .agg(F.count("*").alias("here"))
     )
     up_to_here = (
@@ -119,7 +116,6 @@ def _narrow(
         .orderBy("slot")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # one SQL text: building it from Column calls takes longer than running it
     holds_a_rank = " or ".join(
         f"(stretch = {begin} and upto > {rank - before} and upto - here <= {rank - before})"
         for rank, (begin, before) in enclosing.items()
@@ -138,11 +134,13 @@ def _narrow(
     return found
 
 
-def bin_of(value: Column, cuts: Sequence[int], n: int) -> Column:
+def bin_of(value: Column, cuts: Sequence[int] | None, n: int) -> Column:
     """Number of cut points below ``value``, 0 to n-1; null for null."""
+    if cuts is None:
+        return F.lit(None).cast("bigint")
     above = F.when(value.isNotNull(), F.lit(0).cast("bigint"))
     for cut in cuts:
-        above = above + (value * n > cut).cast("bigint")
+        above = above + (value > cut // n).cast("bigint")  # value * n > cut
     return above
 
 
@@ -173,26 +171,25 @@ def smoothed_means(
     A category counts as if it had ``strength`` more rows with the overall mean;
     one without fitted rows gets that mean.
     """
-    fitted = rows.where(fit)
-    n, ones, categories = fitted.agg(
-        F.count("*"), F.count_if(outcome), F.approx_count_distinct(category, 0.02)
-    ).first()
-    overall = F.lit(ones / n if n else None).cast("double")
-    means = (
-        fitted.groupBy(F.col(category).alias("_category"))
+    per_category = (
+        rows.where(fit)
+        .groupBy(F.col(category).alias("_category"))
         .agg(F.count("*").alias("_n"), F.count_if(outcome).alias("_ones"))
-        .select(
-            "_category",
-            (
-                (F.col("_ones") + F.lit(strength) * overall)
-                / (F.col("_n") + F.lit(strength))
-            ).alias("_mean"),
-        )
     )
-    # Broadcast only a table of checked size (the estimate is within a few percent).
-    # Otherwise Spark joins by sorted key and splits a hot category's partition.
-    if categories <= MOST_BROADCAST:
-        means = F.broadcast(means)
+    # As a written table it is fitted once and Spark knows its true size: it is
+    # broadcast if small enough, else joined by sorted key, where adaptive
+    # execution splits a hot category's partition.
+    place = new_place(rows.sparkSession, "category-means")
+    per_category.write.parquet(place)
+    stored = rows.sparkSession.read.schema(per_category.schema).parquet(place)
+    n, ones = stored.agg(F.sum("_n"), F.sum("_ones")).first()
+    overall = F.lit(ones / n if n else None).cast("double")
+    means = stored.select(
+        "_category",
+        (
+            (F.col("_ones") + F.lit(strength) * overall) / (F.col("_n") + F.lit(strength))
+        ).alias("_mean"),
+    )
     same = F.col(category).eqNullSafe(F.col("_category"))
     return rows.join(means, same, "left").select(
         *keep, category, F.coalesce("_mean", overall).alias("encoded")

@@ -14,27 +14,11 @@ from brindle.functions import (
     scaled,
     unscaled,
 )
-from brindle.operators.running import (
-    MIN_LARGE,
-    Aggregates,
-    before,
-    flag_large,
-    large_keys,
-)
-
-# Slot widths for keys too large for one task: a group holds the days of a key,
-# the minutes of a day, the seconds of a minute, or the rows of a second.
-TIME_WIDTHS = tuple(interval_micros(w) for w in ("1 day", "1 minute", "1 second"))
+from brindle.operators.running import MIN_LARGE, before, large_keys
 
-
-def _earlier(
-    rows: DataFrame, key: str, aggregates: Aggregates, large: DataFrame | None
-) -> DataFrame:
-    """Aggregates over a key's strictly earlier rows, large keys cut into slots."""
-    if large is None:
-        return before(rows, [key], "_at", aggregates)
-    flagged = flag_large(rows, key, large, "_large")
-    return before(flagged, [key], "_at", aggregates, TIME_WIDTHS, "_large")
+# Slot widths for keys too large for one task: a group holds the hours of a key,
+# the seconds of an hour, or the instants of a second.
+TIME_WIDTHS = tuple(interval_micros(w) for w in ("1 hour", "1 second"))
 
 
 def trailing_features(
@@ -59,6 +43,7 @@ def trailing_features(
         scaled(F.col(value)).alias("_value"),
         micros(F.col(ts)).alias("_at"),
     )
+    timed_row = F.col("_move.at").isNotNull()
     moves = timed.withColumn(
         "_move",
         F.explode(
@@ -76,13 +61,17 @@ def trailing_features(
         ],
         F.col("_move.at").alias("_at"),
         (F.col("_move.sign") == 1).alias("_enters"),
-        F.col("_move.sign").cast("bigint").alias("_count"),
-        (F.col("_value") * F.col("_move.sign")).cast("decimal(18,0)").alias("_sum"),
+        F.when(timed_row, F.col("_move.sign").cast("bigint")).alias("_count"),
+        F.when(
+            timed_row, (F.col("_value") * F.col("_move.sign")).cast("decimal(18,0)")
+        ).alias("_sum"),
     )
-    result = _earlier(
+    result = before(
         moves,
         key,
+        "_at",
         {"_n": (F.sum, "_count"), "_s": (F.sum, "_sum")},
+        TIME_WIDTHS,
         large_keys(events, key, min_large),
     )
     return result.where("_enters").select(
@@ -120,7 +109,7 @@ def as_of_feature(
     ).withColumn(
         "_latest",
         F.when(
-            F.col("_feature"),
+            F.col("_feature") & F.col("_at").isNotNull(),
             F.struct(
                 F.col("_at").alias("at"),
                 F.col(order).alias("order"),
@@ -128,10 +117,12 @@ def as_of_feature(
             ),
         ),
     )
-    found = _earlier(
+    found = before(
         timed,
         key,
+        "_at",
         {"_match": (F.max, "_latest")},
+        TIME_WIDTHS,
         large_keys(wanted, key, min_large),
     )
     return found.where("_target").select(

@@ -1,11 +1,16 @@
 """Running aggregates that no single key can overload.
 
-``Window.partitionBy(key)`` sends all rows of a key to one task. Here the axis of
-a large key is cut into slots: each slot is one window group of its own, and one
-extra row per slot carries in what lies before it. The carried values come from
-the same step on the slot totals with the next wider slots, so each group at
-every level holds at most (wider width / narrower width) rows, however many rows
-the key has. Sum and max can be regrouped this way without changing the result.
+``Window.partitionBy(key)`` sends all rows of a key to one task. That is right for
+almost all keys. The few that are too large are taken apart:
+
+1. their rows are first aggregated per instant, so copies collapse before the shuffle;
+2. the time axis is cut into slots, each a window group of its own, with one extra
+   row that carries in what lies before the slot. The carried values come from the
+   same step on the slot totals with wider slots, so a group holds at most
+   (wider width / narrower width) rows however many rows the key has;
+3. the results are joined back to the rows by key and instant.
+
+Sum and max can be regrouped this way without changing the result.
 """
 
 from __future__ import annotations
@@ -20,9 +25,44 @@ from brindle.sources.scratch import new_place
 # Rows from which a key counts as too large for one task.
 MIN_LARGE = 1_000_000
 
+# new column -> (associative function, input column)
 Aggregates = Mapping[str, tuple[Callable[[Column], Column], str]]
 
 
+def before(
+    rows: DataFrame,
+    key: str,
+    at: str,
+    aggregates: Aggregates,
+    widths: Sequence[int],
+    large: DataFrame | None = None,
+) -> DataFrame:
+    """Add, per key, aggregates over the rows with a strictly smaller ``at``.
+
+    ``widths`` are slot widths from wide to narrow for the keys in ``large``, which
+    comes from ``large_keys``. Null where no row comes before. Rows without ``at``
+    must have null inputs; they then count for no other row.
+    """
+    if large is None:
+        return _within(rows, [key], at, aggregates)
+
+    flagged = _flag_large(rows, key, large)
+    usual = _within(flagged.where("_large is null"), [key], at, aggregates)
+
+    taken_apart = flagged.where("_large")
+    inputs = {source: function for function, source in aggregates.values()}
+    instants = taken_apart.groupBy(F.col(key).alias("_key"), F.col(at).alias("_instant")).agg(
+        *[function(F.col(source)).alias(source) for source, function in inputs.items()]
+    )
+    placed = _in_slots(instants, "_key", "_instant", aggregates, widths).drop(*inputs)
+    # adaptive execution splits the partition of an instant that holds very many rows
+    same_instant = F.col(key).eqNullSafe(F.col("_key")) & F.col(at).eqNullSafe(
+        F.col("_instant")
+    )
+    rejoined = taken_apart.join(placed, same_instant, "left").drop("_key", "_instant")
+    return usual.unionByName(rejoined).drop("_large")
+
+
 def large_keys(rows: DataFrame, key: str, min_rows: int = MIN_LARGE) -> DataFrame | None:
     """The keys that hold more than ``min_rows`` rows, or None if there is none.
 
@@ -43,50 +83,33 @@ def large_keys(rows: DataFrame, key: str, min_rows: int = MIN_LARGE) -> DataFram
     return None if kept.isEmpty() else kept
 
 
-def flag_large(rows: DataFrame, key: str, large: DataFrame, flag: str) -> DataFrame:
-    """Add ``flag``: true for rows of the large keys, null for the others.
+def _flag_large(rows: DataFrame, key: str, large: DataFrame) -> DataFrame:
+    """Add ``_large``: true for rows of the large keys, null for the others.
 
     No broadcast hint: the list is a written table, so Spark broadcasts it if its
     file size is below the threshold and otherwise joins by sorted key, where
     adaptive execution splits the large keys' partitions.
     """
-    listed = large.select(F.col(key).alias("_listed"), F.lit(True).alias(flag))
+    listed = large.select(F.col(key).alias("_listed"), F.lit(True).alias("_large"))
     same_key = F.col(key).eqNullSafe(F.col("_listed"))
     return rows.join(listed, same_key, "left").drop("_listed")
 
 
-def before(
-    rows: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    aggregates: Aggregates,
-    widths: Sequence[int] = (),
-    large: str | None = None,
+def _in_slots(
+    rows: DataFrame, key: str, at: str, aggregates: Aggregates, widths: Sequence[int]
 ) -> DataFrame:
-    """Add, per key, aggregates over the rows with a strictly smaller ``at``.
-
-    ``aggregates`` maps the new column to an associative function and its input
-    column. ``widths`` are slot widths from wide to narrow; ``large`` names a
-    flag from ``flag_large``, and rows without it stay in one group per key.
-    Null where no row comes before.
-    """
+    """The same result as ``_within`` by key, through slots of the given widths."""
     if not widths:
-        return _within(rows, keys, at, aggregates)
+        return _within(rows, [key], at, aggregates)
 
     *wider, width = widths
-    slot = F.col(at) - F.pmod(F.col(at), F.lit(width))
-    if large is not None:
-        slot = F.when(F.col(large), slot)
-    slotted = rows.withColumn("_slot", slot)
-
     inputs = {source: function for function, source in aggregates.values()}
-    totals = (
-        (slotted if large is None else slotted.where(large))
-        .groupBy(*keys, F.col("_slot").alias("_start"))
-        .agg(*[function(F.col(source)).alias(source) for source, function in inputs.items()])
+    slotted = rows.withColumn("_slot", F.col(at) - F.pmod(F.col(at), F.lit(width)))
+    totals = slotted.groupBy(key, F.col("_slot").alias("_start")).agg(
+        *[function(F.col(source)).alias(source) for source, function in inputs.items()]
     )
-    carried = before(totals, keys, "_start", aggregates, wider).select(
-        *keys,
+    carried = _in_slots(totals, key, "_start", aggregates, wider).select(
+        key,
         F.col("_start").alias("_slot"),
         (F.col("_start") - 1).alias(at),
         *[F.col(name).alias(source) for name, (_, source) in aggregates.items()],
@@ -96,7 +119,7 @@ def before(
         carried, allowMissingColumns=True
     )
     return (
-        _within(together, [*keys, "_slot"], at, aggregates)
+        _within(together, [key, "_slot"], at, aggregates)
         .where(~F.col("_carried"))
         .drop("_slot", "_carried")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -17,9 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="brindle-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="brindle-")
 
 
 def new_place(spark: SparkSession, purpose: str) -> str:
