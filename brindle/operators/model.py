@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,17 +73,18 @@ def fit_and_score(
     labelled.write.partitionBy("_fit").parquet(place)
     stored = rows.sparkSession.read.schema(labelled.schema).parquet(place)
 
-    pipeline = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol="_features"),
-            LogisticRegression(
-                featuresCol="_features", labelCol=label, maxIter=50, regParam=1e-3
-            ),
-        ]
+    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
+    regression = LogisticRegression(
+        featuresCol="_features", labelCol=label, maxIter=50, regParam=1e-3
     )
-    model = pipeline.fit(stored.where("_fit"))
-    return model.transform(stored.where("not _fit")).select(
+    model = regression.fit(assembler.transform(stored.where("_fit")))
+
+    # one number per feature: scoring is then a plain expression, without vectors
+    margin = F.lit(float(model.intercept))
+    for name, weight in zip(features, model.coefficients.toArray()):
+        margin = margin + F.lit(float(weight)) * F.col(name)
+    return stored.where("not _fit").select(
         *keep,
         *([label] if label not in keep else []),
-        vector_to_array("probability")[1].alias("score"),
+        (1 / (1 + F.exp(-margin))).alias("score"),
     )
