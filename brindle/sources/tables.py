@@ -23,13 +23,16 @@ def read_stream(
     schema: StructType | None = None,
     files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Stream of the table's files below ``base``, a bounded number per batch."""
+    """Stream of the table's files, a bounded number per batch.
+
+    A table is ``{table}.parquet`` or several ``{table}-*.parquet`` below ``base``,
+    each a file or a folder of files.
+    """
     pin_utc(spark)
     if schema is None:
         schema = spark.read.parquet(f"{base}/{table}.parquet").schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}*.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(base)
+        .parquet(f"{base}/{table}{{,-*}}.parquet")
     )

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import model
@@ -39,3 +40,26 @@ def test_scores_every_labelled_row_outside_the_fit(spark):
     scored = model.fit_and_score(rows, ["x"], F.col("id") < 200, ["id"]).collect()
     assert sorted(r.id for r in scored) == [i for i in range(200, 400) if i % 40]
     assert all((r.score > 0.5) == (r.label == 1) for r in scored)
+
+
+def test_score_is_the_regression_s_own_probability(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    rows = spark.range(300).select(
+        "id",
+        F.sin("id").alias("x"),
+        F.cos(F.col("id") * 3).alias("z"),
+        (F.sin("id") + F.cos(F.col("id") * 7) > 0.2).cast("int").alias("label"),
+    )
+    fit = F.col("id") < 200
+    got = {r.id: r.score for r in model.fit_and_score(rows, ["x", "z"], fit, ["id"]).collect()}
+    vectors = VectorAssembler(inputCols=["x", "z"], outputCol="v").transform(rows)
+    fitted = LogisticRegression(
+        featuresCol="v", labelCol="label", maxIter=50, regParam=1e-3
+    ).fit(vectors.where(fit))
+    want = fitted.transform(vectors.where(~fit)).select(
+        "id", vector_to_array("probability")[1].alias("p")
+    )
+    assert got == pytest.approx({r.id: r.p for r in want.collect()}, abs=1e-6)

@@ -96,3 +96,11 @@ def test_shared_folder():
     assert scratch.shared_folder(local) == scratch.shared_folder(local)
     with pytest.raises(RuntimeError):
         scratch.shared_folder(FakeSession("spark://host:7077"))
+
+
+def test_stream_of_a_table_that_is_a_folder(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    events.limit(10).write.parquet(f"{tmp_path}/eventsother.parquet")
+    streamed = run_to_table(read_stream(spark, str(tmp_path), "events"), "test-folder")
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, events.collect()))
