@@ -3,7 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+
+# Declared, so that opening a table starts no job to look into its files.
+SCHEMAS = {
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+}
 
 
 def pin_utc(spark: SparkSession) -> None:
@@ -13,14 +33,14 @@ def pin_utc(spark: SparkSession) -> None:
 
 def read(spark: SparkSession, base: str, table: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.parquet(f"{base}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{base}/{table}.parquet")
 
 
 def read_stream(
     spark: SparkSession,
     base: str,
     table: str,
-    schema: StructType | None = None,
+    schema: str | None = None,
     files_per_trigger: int = 1000,
 ) -> DataFrame:
     """Stream of the table's files, a bounded number per batch.
@@ -29,10 +49,8 @@ def read_stream(
     each a file or a folder of files.
     """
     pin_utc(spark)
-    if schema is None:
-        schema = spark.read.parquet(f"{base}/{table}.parquet").schema
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(schema or SCHEMAS[table])
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(f"{base}/{table}{{,-*}}.parquet")
     )

@@ -19,7 +19,6 @@ START = datetime(2024, 3, 1)
 
 def feed(spark, folder, batches):
     """One file per batch, read in order of their names' age, one at a time."""
-    schema = spark.createDataFrame([], SCHEMA).schema
     stored = pa.schema([("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("event_type", pa.string())])
     for i, batch in enumerate(batches):
         rows = [
@@ -29,7 +28,7 @@ def feed(spark, folder, batches):
         path = f"{folder}/events-{i}.parquet"
         pq.write_table(pa.Table.from_pylist(rows, stored), path)
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
-    return read_stream(spark, str(folder), "events", schema, files_per_trigger=1)
+    return read_stream(spark, str(folder), "events", SCHEMA, files_per_trigger=1)
 
 
 def test_late_rows_are_dropped_and_open_windows_held_back(spark, tmp_path):
