@@ -36,25 +36,26 @@ def standardise(
         square = x.cast("decimal(18,0)") * x.cast("decimal(18,0)")
         statistics += [
             F.count(x).alias(f"n_{c}"),
-            exact_sum(x).cast("double").alias(f"sum_{c}"),
-            F.sum(square).cast("double").alias(f"squares_{c}"),
-            F.min(x).cast("double").alias(f"low_{c}"),
-            F.max(x).cast("double").alias(f"high_{c}"),
+            exact_sum(x).alias(f"sum_{c}"),
+            F.sum(square).alias(f"squares_{c}"),
+            F.min(x).alias(f"low_{c}"),
+            F.max(x).alias(f"high_{c}"),
         ]
     fitted = rows.where(fit).agg(*statistics).first()
 
     out = []
     for c in cols:
         n, total, squares, low, high = (
-            fitted[f"{s}_{c}"] for s in ("n", "sum", "squares", "low", "high")
+            int(fitted[f"{s}_{c}"] or 0) for s in ("n", "sum", "squares", "low", "high")
         )
         z = unit = F.lit(None).cast("double")
         if n and high > low:
             mean = total / n
-            deviation = ((squares - total * mean) / (n - 1)) ** 0.5
+            # whole numbers up to here: nothing cancels when the mean is far from zero
+            deviation = (float(n * squares - total * total) / float(n * (n - 1))) ** 0.5
             x = F.coalesce(scaled(F.col(c), digits).cast("double"), F.lit(mean))
             z = (x - F.lit(mean)) / F.lit(deviation)
-            unit = (x - F.lit(low)) / F.lit(high - low)
+            unit = (x - F.lit(float(low))) / F.lit(float(high - low))
         out += [z.alias(f"{c}_z"), unit.alias(f"{c}_unit")]
     return rows.select(*keep, *out)
 

@@ -24,6 +24,12 @@ def test_standardise_uses_fitted_rows_and_fills_with_their_mean(spark):
     assert got[4].x_z == pytest.approx((100 - 2) / statistics.stdev([1, 2, 3]))
 
 
+def test_standardise_far_from_zero(spark):
+    rows = frame(spark, [1e9 + 0.01, 1e9 + 0.02, 1e9 + 0.03])
+    got = [r.x_z for r in fitted.standardise(rows, ["x"], F.col("fitted"), ["id"]).collect()]
+    assert got == [-1.0, 0.0, 1.0]
+
+
 @pytest.mark.parametrize("values", [[5.0, 5.0], [None, None], [7.0]])
 def test_standardise_without_spread_gives_null(spark, values):
     got = fitted.standardise(frame(spark, values), ["x"], F.col("fitted"), ["id"]).collect()

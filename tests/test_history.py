@@ -122,3 +122,22 @@ def test_large_keys_lists_null_and_none(spark):
     events = spark.createDataFrame(rows, SCHEMA)
     assert [r.user_id for r in large_keys(events, "user_id", 5).collect()] == [None]
     assert large_keys(events, "user_id", 6) is None
+
+
+def test_as_of_over_two_tables(spark):
+    prices = spark.createDataFrame(
+        [(1, 7, START, 10.0), (2, 7, START + timedelta(hours=2), 20.0)],
+        "id bigint, item bigint, ts timestamp_ntz, price double",
+    )
+    sales = spark.createDataFrame(
+        [(10, 7, START + timedelta(hours=2)), (11, 7, START + timedelta(hours=3))],
+        "id bigint, item bigint, ts timestamp_ntz",
+    )
+    both = prices.withColumn("is_sale", F.lit(False)).unionByName(
+        sales.withColumn("is_sale", F.lit(True)), allowMissingColumns=True
+    )
+    got = history.as_of_feature(
+        both, F.col("is_sale"), ~F.col("is_sale"), key="item", order="id", value="price"
+    )
+    # the price set at the moment of a sale comes too late for it
+    assert {r.id: r.feature_value for r in got.collect()} == {10: 10.0, 11: 20.0}
