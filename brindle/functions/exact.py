@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 
 def scaled(col: Column, digits: int = 2) -> Column:
-    """``col`` times 10^digits as a bigint, halves upwards."""
-    return F.floor(col * F.lit(float(10**digits)) + F.lit(0.5))
+    """``col`` times 10^digits as a bigint, halves upwards; NaN counts as missing."""
+    number = F.nanvl(col, F.lit(None).cast("double"))
+    return F.floor(number * F.lit(float(10**digits)) + F.lit(0.5))
 
 
 def exact_sum(col: Column) -> Column:

@@ -1,8 +1,9 @@
 """Columns computed from statistics of a chosen part of the rows.
 
 ``fit`` is a condition, usually a period: statistics come from the rows it holds
-for and are applied to all rows. Each fit brings back a few numbers whose count
-does not depend on the data; applying them is then a projection without shuffle.
+for and are applied to all rows. A fit brings back a few numbers whose count does
+not depend on the data, and applying them is a projection without shuffle; means
+per category stay a table and are joined.
 """
 
 from __future__ import annotations

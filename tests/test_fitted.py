@@ -78,6 +78,14 @@ def test_quantile_bins_of_nulls_ties_and_unfitted_rows(spark):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: None, 5: 0, 6: 3}
 
 
+def test_nan_counts_as_missing(spark):
+    rows = frame(spark, [1.0, float("nan"), 3.0])
+    scaled = {r.id: r for r in fitted.standardise(rows, ["x"], F.col("fitted"), ["id"]).collect()}
+    assert scaled[1].x_z == 0.0 and scaled[0].x_unit == 0.0
+    binned = {r.id: r.bin for r in fitted.quantile_bins(rows, "x", F.col("fitted"), ["id"], 2).collect()}
+    assert binned == {0: 0, 1: None, 2: 1}
+
+
 def test_quantile_bins_without_fitted_rows(spark):
     rows = frame(spark, [1.0, 2.0], [False, False])
     got = fitted.quantile_bins(rows, "x", F.col("fitted"), ["id"]).collect()
