@@ -3,7 +3,8 @@
 A line is a ``\\n``-split part of the text. Words are runs of anything but space and
 U+0009 to U+000D. A line with a word fails if
 
-* punctuation: it does not end, white space aside, in one of ``ENDINGS``;
+* punctuation: it does not end, white space aside, in one of ``ENDINGS``, and holds no
+  end of a sentence (``STOPS``) either;
 * symbols: it has more than one of ``#*$%&|<>`` for every four words;
 * navigation: it has two or more of ``SEPARATORS`` between words;
 * shouting: it has five words or more and most of its letters A-Z are capitals;
@@ -29,6 +30,7 @@ from brindle.llm import text
 # Fixed values of the rules.
 SYMBOLS = "#*$%&|<>"
 ENDINGS = (".", "!", "?", ":", ";", '"', "'", ")", "…", "”", "’", "»")
+STOPS = (". ", "! ", "? ")
 SEPARATORS = (" | ", " > ", " » ", " • ", " · ")
 PHRASES = (
     "accept all cookies",
@@ -47,6 +49,7 @@ PHRASES = (
 
 _SYMBOL_BYTES = [s.encode() for s in SYMBOLS]
 _ENDING_BYTES = tuple(e.encode() for e in ENDINGS)
+_STOP_BYTES = [s.encode() for s in STOPS]
 _SEPARATOR_BYTES = [s.encode() for s in SEPARATORS]
 _PHRASE_BYTES = [p.encode() for p in PHRASES]
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
@@ -66,7 +69,7 @@ SCHEMA = (
 def failing_rule(line: bytes) -> str | None:
     """The first rule that a line with words fails."""
     body = line.strip(_BLANK)
-    if not body.endswith(_ENDING_BYTES):
+    if not body.endswith(_ENDING_BYTES) and not any(stop in body for stop in _STOP_BYTES):
         return "punctuation"
     n_words = len(body.split())
     if 4 * sum(map(body.count, _SYMBOL_BYTES)) > n_words:

@@ -96,7 +96,8 @@ judged as (
          {_SEPARATED} as separators,
          length(body) - length(regexp_replace(body, '[A-Z]', '', 'g')) as capitals,
          length(body) - length(regexp_replace(body, '[A-Za-z]', '', 'g')) as letters,
-         right(body, 1) in ({_listed(line_rules.ENDINGS)}) as ended,
+         right(body, 1) in ({_listed(line_rules.ENDINGS)})
+           or {" or ".join(f"contains(body, '{s}')" for s in line_rules.STOPS)} as ended,
          {" or ".join(f"contains(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{p}')" for p in line_rules.PHRASES)} as phrase
   from full_lines
 ),
