@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import chat, line_rules, toxicity
+from brindle.llm import bpe, chat, language, line_rules, toxicity
 from brindle.llm.tables import remainder, table
 
+def tokenizer_path(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -29,6 +36,17 @@ def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.clean(table(spark, base, "documents"), keep_text=False).drop("clean_text")
 
 
+def op7_language(spark: SparkSession, base: str) -> DataFrame:
+    documents = table(spark, base, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    net = language.fit(documents.where(~held_out))
+    return language.predict(documents, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_bpe(spark: SparkSession, base: str) -> DataFrame:
+    return bpe.encode(table(spark, base, "documents"), tokenizer_path("word_bpe_49k.json"), digests_only=True)
+
+
 def op9_chat(spark: SparkSession, base: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     fixed = spark.range(1).select(
@@ -62,7 +80,7 @@ def op9_chat(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op2_toxicity, op4_line_rules, op9_chat)
+    query.__name__: query for query in (op2_toxicity, op4_line_rules, op7_language, op8_bpe, op9_chat)
 }
 
 

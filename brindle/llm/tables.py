@@ -45,3 +45,16 @@ def remainder(key: Column, of: int) -> Column:
 def bounded(rows: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, those whose key has the smallest hash."""
     return rows.orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key)).limit(most)
+
+
+def put_bytes(spark: SparkSession, purpose: str, data: bytes) -> str:
+    """Write a small file to the shared folder, through the folder's own file system."""
+    place = new_place(spark, purpose)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(place)
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return place
