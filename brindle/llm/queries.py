@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, chat, language, line_rules, toxicity
+from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, toxicity
 from brindle.llm.tables import remainder, table
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +20,10 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_licenses(spark: SparkSession, base: str) -> DataFrame:
+    return licenses.scan(table(spark, base, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, base: str) -> DataFrame:
     documents = table(spark, base, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
@@ -79,8 +83,21 @@ def op9_chat(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, base: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op2_toxicity, op4_line_rules, op7_language, op8_bpe, op9_chat)
+    query.__name__: query
+    for query in (
+        op1_licenses,
+        op2_toxicity,
+        op4_line_rules,
+        op7_language,
+        op8_bpe,
+        op9_chat,
+        op10_decontaminate,
+    )
 }
 
 
