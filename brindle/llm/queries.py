@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, toxicity
+from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, perplexity, toxicity
 from brindle.llm.tables import remainder, table
 
 def tokenizer_path(name: str) -> str:
@@ -36,6 +36,14 @@ def op2_toxicity(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def trusted_keys(spark: SparkSession, base: str) -> DataFrame:
+    return table(spark, base, "labels").where("quality = 1").select("doc_id")
+
+
+def op3_quality(spark: SparkSession, base: str) -> DataFrame:
+    return perplexity.classify(table(spark, base, "documents"), trusted_keys(spark, base))
+
+
 def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.clean(table(spark, base, "documents"), keep_text=False).drop("clean_text")
 
@@ -92,6 +100,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_licenses,
         op2_toxicity,
+        op3_quality,
         op4_line_rules,
         op7_language,
         op8_bpe,

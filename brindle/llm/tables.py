@@ -16,8 +16,14 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings for tasks in Python: small batches, and this package on their path."""
+    """Settings for tasks in Python: small batches, and this package on their path.
+
+    Spark's own Bloom filters (of a fixed size at most) thin out the larger side of a
+    join before its shuffle also where a table has less than 10 GB.
+    """
     bounded_batches(spark)
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16m")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
     if _ROOT not in paths:
