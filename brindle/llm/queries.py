@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, perplexity, toxicity
+from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, parity, perplexity, toxicity
 from brindle.llm.tables import remainder, table
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +48,10 @@ def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.clean(table(spark, base, "documents"), keep_text=False).drop("clean_text")
 
 
+def op6_ngram_jaccard(spark: SparkSession, base: str) -> DataFrame:
+    return parity.near_duplicates(table(spark, base, "documents"))
+
+
 def op7_language(spark: SparkSession, base: str) -> DataFrame:
     documents = table(spark, base, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op2_toxicity,
         op3_quality,
         op4_line_rules,
+        op6_ngram_jaccard,
         op7_language,
         op8_bpe,
         op9_chat,
@@ -212,4 +217,35 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(learnt) as loss_ch
 from joined
 """
 
-ORACLE: dict[str, str] = {"op4_line_rules": _OP4, "op9_chat": _OP9}
+_OP6 = rf"""
+with recursive docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w
+  from documents
+),
+shingles as (
+  select distinct r, array_to_string(w[i : i + 4], ' ') as s
+  from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from docs where len(w) > 0)
+),
+sizes as (select r, count(*) as n from shingles group by r),
+common as (
+  select a.r as a, b.r as b, count(*) as n
+  from shingles a join shingles b on a.s = b.s and a.r < b.r group by a.r, b.r
+),
+links as (
+  select a, b from common join sizes x on x.r = a join sizes y on y.r = b
+  where 100 * common.n >= 75 * (x.n + y.n - common.n)
+),
+edges as (select a, b from links union all select b, a from links),
+reach as (
+  select r, r as root from docs
+  union
+  select e.b, reach.root from reach join edges e on e.a = reach.r
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, min(m.doc_id) as component_id
+from docs d left join sizes s on s.r = d.r
+join reach on reach.r = d.r join docs m on m.r = reach.root
+group by d.r, d.doc_id, s.n
+"""
+
+ORACLE: dict[str, str] = {"op6_ngram_jaccard": _OP6, "op4_line_rules": _OP4, "op9_chat": _OP9}
