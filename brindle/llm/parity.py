@@ -32,18 +32,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import text
-from brindle.llm.components import components
+from brindle.llm.buckets import linked, shared_buckets
 from brindle.llm.tables import written
 
 SIZE = 5
 SINGLE_BELOW = 64
 COMMON = 64
 MOST_COMMON = 250_000
-FEW = 24
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
@@ -115,7 +114,7 @@ def bucket_keys(shingles: np.ndarray, common: np.ndarray, starts: list[int]) ->
             codes = np.concatenate([codes, text.mix(often[: need - len(codes)] ^ np.uint64(0xD1B54A32D192ED03))])
         if len(codes) < need:
             raise ValueError(f"{n} shingles fill only {len(codes)} of {need} blocks")
-        out.append(text.mix(codes + np.uint64(level + 1) * np.uint64(0x8CB92BA72F3D8DD7)))
+        out.append(text.mix(codes + np.uint64((level + 1) * 0x8CB92BA72F3D8DD7 % 2**64)))
     return np.concatenate(out)
 
 
@@ -208,45 +207,35 @@ def _buckets(documents: DataFrame, body: str, common: np.ndarray) -> DataFrame:
     return documents.select(F.col(body).alias("body")).mapInArrow(run, "bucket bigint, node bigint, n int")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, per_hundred: int) -> DataFrame:
-    """The pairs (a, b) whose sets are as similar as asked."""
+def _similar(pairs: DataFrame) -> DataFrame:
+    """The pairs whose sets have three quarters in common."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
+            left, right = batch.column("content_a").to_pylist(), batch.column("content_b").to_pylist()
             passed = []
             for x, y in zip(left, right):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                passed.append(100 * common >= per_hundred * (len(a) + len(b) - common))
+                passed.append(100 * common >= 75 * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
 def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the documents with the keys in ``wanted``."""
+    """(node, content) of the documents with the keys in ``wanted``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, at in text.pieces(batch.column(0)):
                 found = [(identity(s), s.tobytes()) for s in shingle_sets(data, at)]
                 node, raw = zip(*found)
-                yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "shingles": pa.array(raw, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "content": pa.array(raw, pa.binary())})
 
     rows = documents.select(F.col(key).alias("_key"), F.col(body).alias("_body"))
     chosen = rows.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi").select("_body")
-    return chosen.mapInArrow(run, "node bigint, shingles binary")
-
-
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not yet in one component."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    known = pairs.join(a, "a", "left").join(b, "b", "left")
-    return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    return chosen.mapInArrow(run, "node bigint, content binary")
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
@@ -257,52 +246,13 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text
     a component of null keys only has a null id. Keys must be ordered and comparable;
     repeated keys make the rows that carry them one component only through their texts.
     """
-    per_hundred = 75  # the bounds above are for this value
     sets = written(_sets(documents, key, body), "shingle-sets")
-    common = _common_shingles(documents, body)
-    # one row per bucket and set, each bucket's rows together
-    placed = _buckets(documents, body, common)
-    of_bucket = Window.partitionBy("bucket")
-    shared = written(
-        placed.withColumns({"n_nodes": F.count("*").over(of_bucket), "lowest": F.min("node").over(of_bucket)})
-        .where("n_nodes > 1")
-        .distinct(),
-        "buckets",
-    )
-    fits = (F.greatest("n", "other_n") * 3 <= F.least("n", "other_n") * 4)
-    few = shared.where(F.col("n_nodes") <= FEW).select("bucket", "node", "n")
-    other = few.select("bucket", F.col("node").alias("other"), F.col("n").alias("other_n"))
-    small = few.join(other, "bucket").where((F.col("node") < F.col("other")) & fits)
-    star = shared.where((F.col("n_nodes") > FEW) & (F.col("node") > F.col("lowest")))
-    pairs = written(
-        small.select(F.col("node").alias("a"), F.col("other").alias("b"))
-        .unionByName(star.select(F.col("lowest").alias("a"), F.col("node").alias("b")))
-        .distinct(),
-        "pairs",
-    )
+    shared = shared_buckets(_buckets(documents, body, _common_shingles(documents, body)))
     # the full sets of one document for each node that meets another
     met = shared.select("node").distinct()
     wanted = sets.join(met, "node", "left_semi").groupBy("node").agg(F.min("key").alias("_wanted")).select("_wanted")
     full = written(_candidate_sets(documents, key, body, wanted).distinct(), "candidate-sets")
-
-    # first each node with its smallest partner, then what that has not brought together
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = written(_verified(nearest, full, per_hundred), "links")
-    roots = components(links)
-    more = written(_verified(_across(pairs, roots), full, per_hundred), "links")
-    links = links.unionByName(more)
-    roots = components(links)
-    many = shared.where(F.col("n_nodes") > FEW).select("bucket", "node", "n").join(roots, "node", "left")
-    many = many.withColumn("root", F.coalesce("root", "node"))
-    split = many.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("apart")).where("apart").select("bucket")
-    apart = many.join(split, "bucket", "left_semi")
-    across = apart.join(
-        apart.select("bucket", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root")),
-        "bucket",
-    ).where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & fits)
-    rest = across.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    last = written(_verified(rest, full, per_hundred), "links")
-    roots = components(links.unionByName(last))
+    roots = linked(shared, full, _similar, lambda n, m: F.greatest(n, m) * 3 <= F.least(n, m) * 4)
 
     rooted = sets.where("n > 0").join(roots, "node", "left").select("key", "n", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("key").alias("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, chat, decontaminate, language, licenses, line_rules, parity, perplexity, toxicity
+from brindle.llm import bpe, chat, decontaminate, language, licenses, line_dedup, line_rules, parity, perplexity, toxicity
 from brindle.llm.tables import remainder, table
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +48,17 @@ def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
     return line_rules.clean(table(spark, base, "documents"), keep_text=False).drop("clean_text")
 
 
+def op5_line_dedup(spark: SparkSession, base: str) -> DataFrame:
+    documents = table(spark, base, "documents").select("doc_id", "text")
+    kept = line_dedup.without_lines(documents, line_dedup.repeated_lines(documents))
+    return kept.select(
+        "doc_id",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op6_ngram_jaccard(spark: SparkSession, base: str) -> DataFrame:
     return parity.near_duplicates(table(spark, base, "documents"))
 
@@ -106,6 +117,7 @@ QUERIES: dict[str, Query] = {
         op2_toxicity,
         op3_quality,
         op4_line_rules,
+        op5_line_dedup,
         op6_ngram_jaccard,
         op7_language,
         op8_bpe,
