@@ -12,16 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.functions import exact_sum, interval_micros, scaled, unscaled
+from brindle.functions import DIGITS, exact, exact_sum, from_micros, interval_micros, micros
 
 
-def order_features(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per customer: order count, spend, mean and last date; all customers kept."""
+def order_features(customers: DataFrame, orders: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Per customer: order count, spend, mean and last date; all customers kept.
+
+    Prices are summed exactly with ``digits`` digits after the point. An order without
+    a price counts as an order and not in the mean.
+    """
     per_customer = (
         orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
             F.count("*").alias("n_orders"),
-            exact_sum(scaled(F.col("o_totalprice"))).alias("cents"),
+            exact_sum(exact(F.col("o_totalprice"), digits)).cast("double").alias("total"),
+            F.count(F.nanvl("o_totalprice", F.lit(None).cast("double"))).alias("n_priced"),
             F.max("o_orderdate").alias("last_order"),
         )
     )
@@ -31,8 +36,8 @@ def order_features(customers: DataFrame, orders: DataFrame) -> DataFrame:
         .select(
             "c_custkey",
             F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
-            F.coalesce(unscaled(F.col("cents")), F.lit(0.0)).alias("spend"),
-            (unscaled(F.col("cents")) / F.col("n_orders")).alias("mean_order"),
+            F.coalesce("total", F.lit(0.0)).alias("spend"),
+            (F.col("total") / F.col("n_priced")).alias("mean_order"),
             "last_order",
         )
     )
@@ -44,19 +49,21 @@ def event_counts(
     types: Sequence[str],
     type_col: str = "event_type",
     value: str = "value",
+    digits: int = DIGITS,
 ) -> DataFrame:
-    """Per key, one count and one value sum for each of the given types.
+    """Per key, one count and one value sum for each of the given types, and for all
+    others together (``n_other``, ``sum_other``; a null type is among them).
 
     Conditional sums instead of ``pivot``: one shuffle by ``key`` rather than one
     by key and type and a second by key.
     """
     sums = []
-    for name in types:
-        is_type = F.col(type_col) == name
+    listed = F.coalesce(F.col(type_col).isin(*types), F.lit(False))
+    for name, is_type in [*((t, F.col(type_col) == t) for t in types), ("other", ~listed)]:
         sums.append(F.count_if(is_type).alias(f"n_{name}"))
         sums.append(
-            unscaled(
-                F.coalesce(exact_sum(F.when(is_type, scaled(F.col(value)))), F.lit(0))
+            F.coalesce(
+                exact_sum(F.when(is_type, exact(F.col(value), digits))).cast("double"), F.lit(0.0)
             ).alias(f"sum_{name}")
         )
     return events.groupBy(key).agg(*sums)
@@ -72,29 +79,31 @@ def window_counts(
     """Rows per time window and ``by``; tumbling unless ``slide`` is given.
 
     Counted first per pane, the longest stretch that no window cuts, so that a
-    row is not copied into each sliding window that holds it.
+    row is not copied into each sliding window that holds it. Windows begin at
+    multiples of their step since 1970. Rows without a time are counted, once, with
+    null for the window.
     """
+    length = interval_micros(size)
     step = interval_micros(slide or size)
-    pane = math.gcd(interval_micros(size), step)
-    panes = (
-        events.groupBy(F.window(ts, f"{pane} microseconds").alias("pane"), by)
-        .agg(F.count("*").alias("n"))
-    )
-    if slide is None:
-        return panes.select(
-            F.col("pane.start").alias("window_start"),
-            F.col("pane.end").alias("window_end"),
-            by,
-            F.col("n").alias("n_events"),
-        )
-    return (
-        panes.withColumn("pane_start", F.col("pane.start"))
-        .groupBy(F.window("pane_start", size, slide).alias("w"), by)
-        .agg(F.sum("n").alias("n_events"))
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            by,
-            "n_events",
-        )
+    width = math.gcd(length, step)
+    at = micros(F.col(ts))
+    panes = events.groupBy((at - F.pmod(at, F.lit(width))).alias("pane"), by).agg(F.count("*").alias("n"))
+    if step == length == width:
+        windows = panes.select(F.col("pane").alias("start"), by, F.col("n").alias("n_events"))
+        return _with_bounds(windows, by, length)
+    into = F.pmod(F.col("pane"), F.lit(step))
+    latest = F.col("pane") - into
+    back = F.floor((F.lit(length - 1) - into) / F.lit(step)) * F.lit(step)
+    starts = F.when(into < length, F.sequence(latest - back, latest, F.lit(step)))
+    # a pane in a gap between windows is in none; one without a time stays
+    held = panes.where(into.isNull() | (into < length)).select(F.explode_outer(starts).alias("start"), by, "n")
+    return _with_bounds(held.groupBy("start", by).agg(F.sum("n").alias("n_events")), by, length)
+
+
+def _with_bounds(windows: DataFrame, by: str, length: int) -> DataFrame:
+    return windows.select(
+        from_micros(F.col("start")).alias("window_start"),
+        from_micros(F.col("start") + F.lit(length)).alias("window_end"),
+        by,
+        "n_events",
     )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.functions import exact_sum, scaled
+from brindle.functions import DIGITS, scaled
 from brindle.sources.scratch import new_place
 
 # Slots into which each pass of ``cut_points`` divides a stretch of the axis.
@@ -25,7 +25,7 @@ def standardise(
     cols: Sequence[str],
     fit: Column,
     keep: Sequence[str],
-    digits: int = 2,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """z-score and min-max scaling of ``cols``; a missing value counts as the mean.
 
@@ -37,7 +37,7 @@ def standardise(
         square = x.cast("decimal(18,0)") * x.cast("decimal(18,0)")
         statistics += [
             F.count(x).alias(f"n_{c}"),
-            exact_sum(x).alias(f"sum_{c}"),
+            F.sum(x.cast("decimal(18,0)")).alias(f"sum_{c}"),
             F.sum(square).alias(f"squares_{c}"),
             F.min(x).alias(f"low_{c}"),
             F.max(x).alias(f"high_{c}"),
@@ -140,10 +140,9 @@ def bin_of(value: Column, cuts: Sequence[int] | None, n: int) -> Column:
     """Number of cut points below ``value``, 0 to n-1; null for null."""
     if cuts is None:
         return F.lit(None).cast("bigint")
-    above = F.when(value.isNotNull(), F.lit(0).cast("bigint"))
-    for cut in cuts:
-        above = above + (value > cut // n).cast("bigint")  # value * n > cut
-    return above
+    floors = F.lit([cut // n for cut in cuts])  # value * n > cut if value > cut // n
+    below = F.size(F.filter(floors, lambda cut: cut < value))
+    return F.when(value.isNotNull(), below.cast("bigint"))
 
 
 def quantile_bins(
@@ -152,7 +151,7 @@ def quantile_bins(
     fit: Column,
     keep: Sequence[str],
     n: int = 10,
-    digits: int = 2,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """Bin of each row between quantiles of the fitted rows."""
     value = scaled(F.col(col), digits)
@@ -171,12 +170,14 @@ def smoothed_means(
     """Mean 0/1 outcome of the row's category, drawn to the overall mean.
 
     A category counts as if it had ``strength`` more rows with the overall mean;
-    one without fitted rows gets that mean.
+    one without fitted rows gets that mean. A missing outcome counts for nothing. A
+    fitted row's own outcome is part of the mean it gets, so a model fitted on the same
+    rows sees it; fit the means on an earlier period than the model.
     """
     per_category = (
         rows.where(fit)
         .groupBy(F.col(category).alias("_category"))
-        .agg(F.count("*").alias("_n"), F.count_if(outcome).alias("_ones"))
+        .agg(F.count(outcome).alias("_n"), F.count_if(outcome).alias("_ones"))
     )
     # As a written table it is fitted once and Spark knows its true size: it is
     # broadcast if small enough, else joined by sorted key, where adaptive

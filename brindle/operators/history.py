@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import (
+    DIGITS,
+    exact,
     from_micros,
     interval_micros,
     micros,
-    scaled,
-    unscaled,
 )
 from brindle.operators.running import MIN_LARGE, before, large_keys
 
@@ -29,6 +29,7 @@ def trailing_features(
     span: str = "7 days",
     keep: Sequence[str] = ("event_id",),
     min_large: int = MIN_LARGE,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """Per event, count and value sum over the key's preceding ``span``.
 
@@ -40,7 +41,7 @@ def trailing_features(
     timed = events.select(
         *keep,
         *[c for c in (key, ts) if c not in keep],
-        scaled(F.col(value)).alias("_value"),
+        exact(F.col(value), digits).alias("_value"),
         micros(F.col(ts)).alias("_at"),
     )
     timed_row = F.col("_move.at").isNotNull()
@@ -63,7 +64,8 @@ def trailing_features(
         (F.col("_move.sign") == 1).alias("_enters"),
         F.when(timed_row, F.col("_move.sign").cast("bigint")).alias("_count"),
         F.when(
-            timed_row, (F.col("_value") * F.col("_move.sign")).cast("decimal(18,0)")
+            timed_row,
+            F.when(F.col("_move.sign") == 1, F.col("_value")).otherwise(-F.col("_value")),
         ).alias("_sum"),
     )
     result = before(
@@ -78,7 +80,7 @@ def trailing_features(
         *keep,
         *[c for c in (key, ts) if c not in keep],
         F.coalesce("_n", F.lit(0)).alias("n_before"),
-        F.coalesce(unscaled(F.col("_s")), F.lit(0.0)).alias("sum_before"),
+        F.coalesce(F.col("_s").cast("double"), F.lit(0.0)).alias("sum_before"),
     )
 
 

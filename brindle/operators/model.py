@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.functions import exact_sum, scaled, unscaled
+from brindle.functions import DIGITS, exact, exact_sum
 from brindle.sources.scratch import new_place
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -23,6 +23,7 @@ def daily_features(
     value: str = "value",
     types: Sequence[str] = EVENT_TYPES,
     outcome: str = "purchase",
+    digits: int = DIGITS,
 ) -> DataFrame:
     """Per key and active day: counts per type, value sum, and ``label``.
 
@@ -33,9 +34,9 @@ def daily_features(
         events.groupBy(key, F.to_date(ts).cast("timestamp_ntz").alias("day"))
         .agg(
             *[F.count_if(F.col(type_col) == t).alias(f"n_{t}") for t in types],
-            exact_sum(scaled(F.col(value))).alias("cents"),
+            exact_sum(exact(F.col(value), digits)).alias("total"),
         )
-        .withColumn("value_sum", F.coalesce(unscaled(F.col("cents")), F.lit(0.0)))
+        .withColumn("value_sum", F.coalesce(F.col("total").cast("double"), F.lit(0.0)))
     )
     # a key has one row per day here, so its window group is bounded by the calendar
     next_day = (
@@ -61,14 +62,15 @@ def fit_and_score(
     keep: Sequence[str],
     label: str = "label",
 ) -> DataFrame:
-    """Fit on labelled rows where ``fit`` holds, score the labelled others.
+    """Fit on labelled rows where ``fit`` holds, score the labelled others, also those
+    whose ``fit`` is null.
 
     The rows are written to the shared folder first: each iteration reads them,
     and a lost executor then costs a read, not the aggregation before it.
     """
     place = new_place(rows.sparkSession, "model-rows")
     labelled = rows.where(F.col(label).isNotNull()).select(
-        *keep, *[c for c in (*features, label) if c not in keep], fit.alias("_fit")
+        *keep, *[c for c in (*features, label) if c not in keep], F.coalesce(fit, F.lit(False)).alias("_fit")
     )
     labelled.write.partitionBy("_fit").parquet(place)
     stored = rows.sparkSession.read.schema(labelled.schema).parquet(place)

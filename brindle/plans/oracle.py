@@ -48,7 +48,8 @@ cuts as (
 ),
 binned as (
   select o_orderkey, o_totalprice, o_orderdate,
-         (select count(*) from cuts where {_cents('o_totalprice')} * 10 > cut) as bin
+         case when o_totalprice is null then -1
+              else (select count(*) from cuts where {_cents('o_totalprice')} * 10 > cut) end as bin
   from orders
 )
 """
@@ -71,7 +72,11 @@ group by c_custkey
         f" as sum_{t}"
         for t in _EVENT_TYPES
     )
-    + " from events group by user_id",
+    + ", count(*) filter (event_type is null or event_type not in ("
+    + ", ".join(f"'{t}'" for t in _EVENT_TYPES)
+    + ")) as n_other, coalesce(sum(value) filter (event_type is null or event_type not in ("
+    + ", ".join(f"'{t}'" for t in _EVENT_TYPES)
+    + ")), 0) as sum_other from events group by user_id",
     "window_counts_tumbling": """
 select date_trunc('day', ts) as window_start,
        date_trunc('day', ts) + interval 1 day as window_end,
@@ -109,20 +114,21 @@ from numbered group by user_id, session
     "standardised_prices": f"""
 with fitted as (
   select count(*) as n,
-         cast(sum(x) as double) as total,
-         cast(sum(cast(x as hugeint) * x) as double) as squares,
+         cast(sum(x) as hugeint) as total,
+         cast(sum(cast(x as hugeint) * x) as hugeint) as squares,
          cast(min(x) as double) as low,
          cast(max(x) as double) as high
   from (select {_cents('o_totalprice')} as x from orders
         where o_orderdate < timestamp '1999-01-01')
 )
 select o_orderkey,
-       ({_cents('o_totalprice')} - total / n)
-         / sqrt((squares - total * (total / n)) / (n - 1)) as o_totalprice_z,
+       ({_cents('o_totalprice')} - cast(total as double) / n)
+         / sqrt(cast(n * squares - total * total as double) / cast(n * (n - 1) as double))
+         as o_totalprice_z,
        ({_cents('o_totalprice')} - low) / (high - low) as o_totalprice_unit
 from orders, fitted
 """,
-    "quantile_bins": f"with {_CUTS} select o_orderkey, o_totalprice, bin from binned",
+    "quantile_bins": f"with {_CUTS} select o_orderkey, o_totalprice, nullif(bin, -1) as bin from binned",
     "smoothed_return_rates": """
 with fitted as (
   select l_suppkey, count(*) as n, count(*) filter (l_returnflag = 'R') as ones
@@ -164,7 +170,7 @@ counted as (
   select s.bin,
          count(b.o_orderkey) filter (b.o_orderdate < timestamp '1999-01-01') as n_a,
          count(b.o_orderkey) filter (b.o_orderdate >= timestamp '1999-01-01') as n_b
-  from range(10) as s(bin) left join binned b on b.bin = s.bin
+  from range(-1, 10) as s(bin) left join binned b on b.bin = s.bin
   group by s.bin
 ),
 shares as (
@@ -193,13 +199,10 @@ select d.*,
 from days d
 """,
     "streamed_window_counts": """
-select * from (
-  select date_trunc('day', ts) as window_start,
-         date_trunc('day', ts) + interval 1 day as window_end,
-         event_type, count(*) as n_events
-  from events group by 1, 2, 3
-)
-where window_end <= (select max(ts) from events) - interval 1 hour
+select date_trunc('day', ts) as window_start,
+       date_trunc('day', ts) + interval 1 day as window_end,
+       event_type, count(*) as n_events
+from events group by 1, 2, 3
 """,
     "streamed_dedup": "select distinct * from events",
 }

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.operators import counts, evaluation, fitted, history, model
+from brindle.sources.scratch import new_place
 from brindle.sources.tables import read, read_stream
-from brindle.streaming.events import stream_dedup, stream_window_counts
+from brindle.streaming.events import open_windows, stream_dedup, stream_window_counts
 from brindle.streaming.sink import run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,7 @@ def standardised_prices(spark: SparkSession, base: str) -> DataFrame:
         ["o_totalprice"],
         _before("o_orderdate", ORDERS_FITTED_BEFORE),
         ["o_orderkey"],
+        digits=2,
     )
 
 
@@ -86,6 +88,7 @@ def quantile_bins(spark: SparkSession, base: str) -> DataFrame:
         "o_totalprice",
         _before("o_orderdate", ORDERS_FITTED_BEFORE),
         ["o_orderkey"],
+        digits=2,
     )
 
 
@@ -111,7 +114,7 @@ def binary_metrics(spark: SparkSession, base: str) -> DataFrame:
 
 def price_drift(spark: SparkSession, base: str) -> DataFrame:
     early = _before("o_orderdate", ORDERS_FITTED_BEFORE)
-    return evaluation.drift(read(spark, base, "orders"), "o_totalprice", early, ~early)
+    return evaluation.drift(read(spark, base, "orders"), "o_totalprice", early, ~early, digits=2)
 
 
 def purchase_forecast(spark: SparkSession, base: str) -> DataFrame:
@@ -130,7 +133,6 @@ def purchase_forecast_metrics(spark: SparkSession, base: str) -> DataFrame:
         F.col("score"),
         F.col("label") == 1,
         cut=0.5,
-        digits=9,
     )
 
 
@@ -139,9 +141,11 @@ def purchase_forecast_inputs(spark: SparkSession, base: str) -> DataFrame:
 
 
 def streamed_window_counts(spark: SparkSession, base: str) -> DataFrame:
-    return run_to_table(
-        stream_window_counts(read_stream(spark, base, "events")), "window-counts"
-    )
+    """Closed windows and those still open: every event counts."""
+    place = new_place(spark, "window-counts")
+    counts_ = stream_window_counts(read_stream(spark, base, "events"))
+    closed = run_to_table(counts_, "window-counts", place, late="raise")
+    return closed.unionByName(open_windows(spark, f"{place}/state"))
 
 
 def streamed_dedup(spark: SparkSession, base: str) -> DataFrame:

@@ -31,9 +31,16 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _files(base: str, table: str) -> str:
+    """``{table}.parquet`` and ``{table}-*.parquet`` below ``base``, each a file or a
+    folder of files."""
+    return f"{base}/{table}{{,-*}}.parquet"
+
+
 def read(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The table's files; the same ones as ``read_stream`` reads."""
     pin_utc(spark)
-    return spark.read.schema(SCHEMAS[table]).parquet(f"{base}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(_files(base, table))
 
 
 def read_stream(
@@ -45,12 +52,12 @@ def read_stream(
 ) -> DataFrame:
     """Stream of the table's files, a bounded number per batch.
 
-    A table is ``{table}.parquet`` or several ``{table}-*.parquet`` below ``base``,
-    each a file or a folder of files.
+    The number decides how often the watermark moves on, and so which rows are late
+    when a backlog is read; with ``run_to_table(..., late="raise")`` none goes unseen.
     """
     pin_utc(spark)
     return (
         spark.readStream.schema(schema or SCHEMAS[table])
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(f"{base}/{table}{{,-*}}.parquet")
+        .parquet(_files(base, table))
     )

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,7 +14,8 @@ def stream_window_counts(
     slide: str | None = None,
     delay: str = "1 hour",
 ) -> DataFrame:
-    """Rows per closed time window and ``by``; rows later than ``delay`` are dropped.
+    """Rows per closed time window and ``by``; rows later than ``delay`` are dropped, and so
+    are rows without a time, which no watermark passes.
 
     Counts merge within a task before the shuffle, so a hot ``by`` is one row per
     window and task.
@@ -36,23 +34,31 @@ def stream_window_counts(
     )
 
 
+def open_windows(spark: SparkSession, state: str, by: str = "event_type") -> DataFrame:
+    """The counts of ``stream_window_counts`` that a stream has not closed yet.
+
+    Read from the state in the checkpoint folder ``state``. Together with the closed
+    windows they account for every row that came in time.
+    """
+    return spark.read.format("statestore").load(state).select(
+        F.col("key").getField("window").getField("start").cast("timestamp_ntz").alias("window_start"),
+        F.col("key").getField("window").getField("end").cast("timestamp_ntz").alias("window_end"),
+        F.col("key").getField(by).alias(by),
+        F.col("value").getField("count").alias("n_events"),
+    )
+
+
 def stream_dedup(
     events: DataFrame, id_col: str = "event_id", ts: str = "ts", delay: str = "1 hour"
 ) -> DataFrame:
     """The first copy of each id; copies may arrive up to ``delay`` apart.
 
-    Copies next to each other are dropped before the shuffle, without state, so
-    that an id delivered very often does not send every copy to one task.
+    Spark's own deduplication and nothing before it: which copy is the first, and which
+    is too late, depends on the watermark alone. Rows with a null id are copies of each
+    other.
     """
-
-    def thin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated = batch.column(id_col).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated.to_numpy()))
-
     return (
-        events.mapInArrow(thin, events.schema)
-        .withColumn("_ts", F.col(ts).cast("timestamp"))
+        events.withColumn("_ts", F.col(ts).cast("timestamp"))
         .withWatermark("_ts", delay)
         .dropDuplicatesWithinWatermark([id_col])
         .drop("_ts")

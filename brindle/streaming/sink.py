@@ -7,14 +7,20 @@ from pyspark.sql import DataFrame
 from brindle.sources.scratch import new_place
 
 
-def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
+def run_to_table(
+    stream: DataFrame, purpose: str, place: str | None = None, late: str = "drop"
+) -> DataFrame:
     """Process all files there are, then return the written table.
 
-    Output and state live in the shared folder, so a restarted query continues
-    and each input file counts exactly once.
+    Output (``{place}/table``) and state (``{place}/state``) live in ``place``, a fresh
+    one in the shared folder unless the caller names it. A call with the same ``place``
+    continues: files that it has seen are not read again, so each counts exactly once.
+
+    Rows behind the watermark are dropped, as Spark does; with ``late="raise"`` any such
+    row is an error instead.
     """
     spark = stream.sparkSession
-    place = new_place(spark, purpose)
+    place = place or new_place(spark, purpose)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -24,4 +30,11 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    dropped = sum(
+        operator["numRowsDroppedByWatermark"]
+        for batch in query.recentProgress
+        for operator in batch["stateOperators"]
+    )
+    if dropped and late == "raise":
+        raise RuntimeError(f"{dropped} rows came too late for the watermark")
     return spark.read.schema(stream.schema).parquet(f"{place}/table")

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+import pytest
+
 from brindle.functions import interval_micros
 from brindle.operators import counts
 
@@ -64,3 +66,27 @@ def test_interval_micros():
         except ValueError:
             continue
         raise AssertionError(bad)
+
+
+def test_small_values_are_summed_and_what_does_not_fit_raises(spark):
+    events = spark.range(1000).selectExpr("1L as user_id", "'view' as event_type", "0.004D as value")
+    assert counts.event_counts(events, "user_id", ["view"]).first().sum_view == 4.0
+    for value, digits in ((0.004, 2), (float("inf"), 6), (1e30, 6)):
+        bad = spark.createDataFrame([(1, "view", value)], "user_id bigint, event_type string, value double")
+        with pytest.raises(Exception, match="digits"):
+            counts.event_counts(bad, "user_id", ["view"], digits=digits).collect()
+
+
+def test_types_that_are_not_listed_count_as_other(spark):
+    events = spark.createDataFrame(
+        [(1, "view", 1.5), (1, "refund", 2.0), (1, None, 4.0)], "user_id bigint, event_type string, value double"
+    )
+    got = counts.event_counts(events, "user_id", ["view"]).first()
+    assert (got.n_view, got.n_other, got.sum_other) == (1, 2, 6.0)
+
+
+def test_rows_without_a_time_are_counted(spark):
+    events = spark.createDataFrame([(START, "a"), (None, "a"), (None, "a")], "ts timestamp_ntz, kind string")
+    for slide in (None, "6 hours"):
+        got = counts.window_counts(events, "ts", "kind", "1 day", slide).where("window_start is null")
+        assert [(r.window_end, r.n_events) for r in got.collect()] == [(None, 2)]

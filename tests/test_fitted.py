@@ -102,3 +102,17 @@ def test_smoothed_means_of_null_and_unseen_categories(spark):
     assert {r.id: r.encoded for r in got.collect()} == pytest.approx(
         {1: (1 + overall) / 3, 2: (1 + overall) / 3, 3: (1 + overall) / 2, 4: overall}
     )
+
+
+def test_missing_outcomes_count_for_nothing(spark):
+    rows = spark.createDataFrame([(1, "a", True), (2, "a", None), (3, "a", None)], "id bigint, c string, y boolean")
+    got = fitted.smoothed_means(rows, "c", F.col("y"), F.lit(True), ["id"]).collect()
+    assert {r.encoded for r in got} == {1.0}
+
+
+def test_small_values_fall_into_different_bins(spark):
+    rows = frame(spark, [i * 1e-6 for i in range(1000)])
+    got = fitted.quantile_bins(rows, "x", F.col("fitted"), ["id"], 10).collect()
+    assert sorted({r.bin for r in got}) == list(range(10))
+    with pytest.raises(Exception, match="digits"):
+        fitted.quantile_bins(frame(spark, [1e30, 5.0]), "x", F.col("fitted"), ["id"], 2).collect()

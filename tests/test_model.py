@@ -63,3 +63,13 @@ def test_score_is_the_regression_s_own_probability(spark):
         "id", vector_to_array("probability")[1].alias("p")
     )
     assert got == pytest.approx({r.id: r.p for r in want.collect()}, abs=1e-6)
+
+
+def test_rows_with_an_unknown_fit_condition_are_scored(spark):
+    rows = spark.range(150).select(
+        "id",
+        (F.col("id") % 10).cast("double").alias("x"),
+        (F.col("id") % 10 >= 5).cast("int").alias("label"),
+        F.when(F.col("id") < 100, F.when(F.col("id") < 50, True).otherwise(False)).alias("fit"),
+    )
+    assert model.fit_and_score(rows, ["x"], F.col("fit"), ["id"]).count() == 100

@@ -6,9 +6,10 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from brindle.operators import history
+from brindle.operators import evaluation, history
 from brindle.plans.queries import QUERIES
+from brindle.sources.tables import read_stream
+from brindle.streaming.events import stream_dedup, stream_window_counts
 
 BASE = "/root/testdata/sf0.001"
 
@@ -22,7 +23,7 @@ def plan(frame) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(query(spark, BASE)) for name, query in queries().items()}
+    return {name: plan(query(spark, BASE)) for name, query in QUERIES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -58,13 +59,26 @@ def test_shuffles(plans, name, shuffles):
         ("trailing_features", "event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double"),
         ("session_features", "ts:timestamp_ntz,user_id:bigint,event_type:string"),
         ("quantile_bins", "o_orderkey:bigint,o_totalprice:double"),
-        ("binary_metrics", "l_extendedprice:double,l_returnflag:string"),
     ],
 )
 def test_scan_reads_only_the_needed_columns(plans, name, columns):
     assert f"ReadSchema: struct<{columns}>" in plans[name]
 
 
+def test_score_counts_are_combined_before_the_one_shuffle(spark):
+    lines = spark.read.parquet(f"{BASE}/lineitem.parquet")
+    text = plan(evaluation.score_counts(lines, F.col("l_extendedprice"), F.col("l_returnflag") == "R"))
+    assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in text
+    assert text.count("Arguments: hashpartitioning") == 1 and "partial_" in text
+
+
+def test_no_python_in_the_streams(spark):
+    events = read_stream(spark, BASE, "events")
+    for stream in (stream_dedup(events), stream_window_counts(events)):
+        text = plan(stream)
+        assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
 def test_filter_reaches_the_scan(plans):
     assert "PushedFilters: [Or(EqualTo(event_type,purchase),EqualTo(event_type,view))]" in (
         plans["as_of_feature"]

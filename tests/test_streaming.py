@@ -9,7 +9,7 @@ import pytest
 
 from brindle.operators import counts
 from brindle.sources import scratch
-from brindle.sources.tables import read_stream
+from brindle.sources.tables import read, read_stream
 from brindle.streaming.events import stream_dedup, stream_window_counts
 from brindle.streaming.sink import run_to_table
 
@@ -103,3 +103,53 @@ def test_stream_of_a_table_that_is_a_folder(spark, tmp_path):
     events.limit(10).write.parquet(f"{tmp_path}/eventsother.parquet")
     streamed = run_to_table(read_stream(spark, str(tmp_path), "events"), "test-folder")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, events.collect()))
+
+
+def test_ids_beyond_doubles_and_a_null_are_kept_apart(spark, tmp_path):
+    stream = feed(spark, tmp_path, [[(2**53, 1, "view"), (2**53 + 1, 1, "view"), (None, 1, "view")]])
+    got = run_to_table(stream_dedup(stream), "test-dedup").collect()
+    assert {r.event_id for r in got} == {2**53, 2**53 + 1, None}
+
+
+def test_a_late_copy_does_not_take_the_on_time_one_with_it(spark, tmp_path):
+    stream = feed(
+        spark,
+        tmp_path,
+        [[(1, 30, "view")], [(2, 31, "view")], [(7, 3, "view"), (7, 31, "click")], [(8, 32, "view")]],
+    )
+    got = run_to_table(stream_dedup(stream), "test-dedup").collect()
+    assert sorted((r.event_id, r.event_type) for r in got) == [
+        (1, "view"), (2, "view"), (7, "click"), (8, "view")
+    ]
+
+
+def test_a_named_place_continues(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    place = f"{tmp_path}/place"
+    stream = feed(spark, tmp_path / "in", [[(1, 1, "view")]])
+    assert run_to_table(stream_dedup(stream), "x", place).count() == 1
+    extra = pa.table({"event_id": [1, 2], "ts": [START + timedelta(hours=1)] * 2, "event_type": ["view"] * 2})
+    pq.write_table(extra, tmp_path / "in" / "events-late.parquet")
+    got = run_to_table(stream_dedup(read_stream(spark, f"{tmp_path}/in", "events", SCHEMA)), "x", place)
+    assert sorted(r.event_id for r in got.collect()) == [1, 2]
+
+
+def test_late_rows_can_be_an_error(spark, tmp_path):
+    stream = feed(
+        spark, tmp_path, [[(1, 30, "view")], [(2, 31, "view")], [(3, 60, "view")], [(4, 1, "view")]]
+    )
+    with pytest.raises(RuntimeError, match="too late"):
+        run_to_table(stream_window_counts(stream), "test-late", late="raise")
+
+
+def test_batch_and_stream_read_the_same_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.limit(100).write.parquet(f"{tmp_path}/events.parquet")
+    events.limit(50).write.parquet(f"{tmp_path}/events-more.parquet")
+    streamed = run_to_table(read_stream(spark, str(tmp_path), "events"), "test-files")
+    assert read(spark, str(tmp_path), "events").count() == streamed.count() == 150
+
+
+def test_a_folder_on_one_machine_is_refused_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        scratch.shared_folder(FakeSession("yarn", "file:///tmp/checkpoints"))
