@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm import text
 from brindle.llm.lexicon import Lexicon, build
-from brindle.llm.tables import put_bytes
+from brindle.llm.tables import put_bytes, written
 
 SUFFIX = "</w>"
 CACHED_WORDS = 200_000
@@ -92,45 +92,120 @@ def merge(vocabulary: Vocabulary, letters: list[str], word: str) -> tuple[int, .
     return tuple(vocabulary.ids[p] for p in parts)
 
 
-class _Words(dict):
-    """Pre-token -> (its ids as bytes, its decoded form); forgets when full."""
+class Merger:
+    """``merge`` for many words at once, on numbers instead of strings."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None) -> None:
-        super().__init__()
-        self._vocabulary, self._lexicon, self._letters = vocabulary, lexicon, byte_letters()
-        self._strings = {i: s for s, i in (vocabulary.ids | vocabulary.special).items()}
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        ids, letters = vocabulary.ids, byte_letters()
+        self._inner = np.array([ids[x] for x in letters], np.int64)
+        self._last = np.array([ids[x + SUFFIX] for x in letters], np.int64)
+        self._n = max(ids.values()) + 1
+        pair = np.array([ids[a] * self._n + ids[b] for a, b in vocabulary.ranks], np.int64)
+        self._never = len(pair)
+        self._made = np.array([ids[a + b] for a, b in vocabulary.ranks], np.int64)
+        order = np.argsort(pair)
+        self._pairs, self._ranks = pair[order], order
+        # a slot that no pair hashes to needs no search
+        self._taken = np.zeros(1 << 22, bool)
+        self._taken[self._slot(pair)] = True
 
-    def entry(self, ids: tuple[int, ...]) -> tuple[bytes, bytes]:
-        return np.array(ids, "<u4").tobytes(), " ".join(map(self._strings.__getitem__, ids)).encode()
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes]:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self._lexicon.get(word.encode()) if self._lexicon else None
-        got = self[word] = self.entry(ids or merge(self._vocabulary, self._letters, word))
-        return got
+    @staticmethod
+    def _slot(pair: np.ndarray) -> np.ndarray:
+        return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
+
+    def _rank(self, pair: np.ndarray) -> np.ndarray:
+        out = np.full(len(pair), self._never)
+        maybe = np.flatnonzero(self._taken[self._slot(pair)])
+        at = np.minimum(np.searchsorted(self._pairs, pair[maybe]), self._never - 1)
+        out[maybe] = np.where(self._pairs[at] == pair[maybe], self._ranks[at], self._never)
+        return out
+
+    def __call__(self, words: Sequence[bytes]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        name = np.arange(len(words))
+        size = np.array([len(w) for w in words], np.int64)
+        name, size = name[size > 0], size[size > 0]
+        token = self._inner[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum(size)
+        token[ends - 1] = self._last[np.frombuffer(b"".join(words), np.uint8)[ends - 1]]
+        while len(name):
+            start = np.cumsum(size) - size
+            rank = np.full(len(token), self._never)
+            rank[:-1] = self._rank(token[:-1] * self._n + token[1:])
+            rank[start + size - 1] = self._never  # no pair reaches into the next word
+            best = np.minimum.reduceat(rank, start)
+            done = best == self._never
+            for k in np.flatnonzero(done).tolist():
+                out[name[k]] = token[start[k] : start[k] + size[k]]
+            word = np.repeat(np.arange(len(name)), size)
+            at = np.flatnonzero((rank == best[word]) & (rank < self._never))
+            # of overlapping equal pairs, every second one from the left
+            head = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1])) if len(at) else at
+            nth = np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))
+            at = at[nth % 2 == 0]
+            token[at] = self._made[rank[at]]
+            left = ~done[word]
+            left[at + 1] = False
+            size = size - np.bincount(word[at], minlength=len(size))
+            token, name, size = token[left], name[~done], size[~done]
+        return out
 
 
 class Encoder:
     """Encodes whole texts; ``lexicon`` is the path of a compiled one."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: str | None = None) -> None:
-        self._words = _Words(vocabulary, Lexicon(lexicon) if lexicon else None)
+        self._lexicon = Lexicon(lexicon) if lexicon else None
+        self._merge = Merger(vocabulary)
+        self._strings = np.array([""] * (max(vocabulary.ids.values()) + 1), object)
+        for string, number in vocabulary.ids.items():
+            self._strings[number] = string
+        self._special = {w: (np.array([i], "<u4").tobytes(), w.encode()) for w, i in vocabulary.special.items()}
+        self._ids: dict[str, bytes] = {}
+        self._said: dict[str, bytes] = {}
         self._find = regex.compile(vocabulary.pattern).findall
-        self._special = vocabulary.special
         self._cut = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
 
-    def __call__(self, body: str) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit numbers, and their decoding in UTF-8."""
-        found = []
-        for part in self._cut.split(body) if "<|" in body else (body,):
-            if part in self._special:
-                found.append(self._words.entry((self._special[part],)))
-                continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            found += map(self._words.__getitem__, self._find(part.lower()))
-        return b"".join([ids for ids, _ in found]), b" ".join([said for _, said in found])
+    def _split(self, body: str) -> list[str]:
+        if "<|" not in body:
+            return self._find(self._normal(body))
+        out: list[str] = []
+        for part in self._cut.split(body):
+            out += [part] if part in self._special else self._find(self._normal(part))
+        return out
+
+    @staticmethod
+    def _normal(body: str) -> str:
+        if not body.isascii():
+            body = unicodedata.normalize("NFC", body).replace("Σ", "σ")
+        return body.lower()
+
+    def _learn(self, words: set[str]) -> None:
+        """Take the ids of new words from the lexicon, and merge those it does not have."""
+        if len(self._ids) + len(words) > CACHED_WORDS:
+            self._ids.clear()
+            self._said.clear()
+        for word in words & self._special.keys():
+            self._ids[word], self._said[word] = self._special[word]
+        fresh = list(words - self._ids.keys())
+        raw = [w.encode() for w in fresh]
+        ids = self._lexicon.get_many(raw) if self._lexicon else [None] * len(raw)
+        unseen = [k for k, i in enumerate(ids) if i is None]
+        for k, merged in zip(unseen, self._merge([raw[k] for k in unseen])):
+            ids[k] = merged
+        for word, found in zip(fresh, ids):
+            self._ids[word] = found.astype("<u4").tobytes()
+            self._said[word] = " ".join(self._strings[found]).encode()
+
+    def __call__(self, bodies: Sequence[str]) -> list[tuple[bytes, bytes]]:
+        """For each text its ids as little-endian 32-bit numbers and their decoding in UTF-8."""
+        split = [self._split(b) for b in bodies]
+        wanted = set().union(*split)
+        if not wanted <= self._ids.keys():
+            new = wanted - self._ids.keys()
+            self._learn(wanted if len(self._ids) + len(new) > CACHED_WORDS else new)
+        ids, said = self._ids.__getitem__, self._said.__getitem__
+        return [(b"".join(map(ids, words)), b" ".join(map(said, words))) for words in split]
 
 
 def word_counts(documents: DataFrame, body: str = "text") -> DataFrame:
@@ -183,9 +258,21 @@ def word_counts(documents: DataFrame, body: str = "text") -> DataFrame:
 
 
 def compile_lexicon(documents: DataFrame, vocabulary: Vocabulary, body: str = "text", most: int = 50_000) -> bytes:
-    """The transducer of the ``most`` most frequent words of all texts."""
-    counts = word_counts(documents, body).where(F.col("n") > 1)
-    rows = counts.orderBy(F.desc("n"), "word").limit(most).collect()
+    """The transducer of the most frequent words of all texts, ``most`` at most.
+
+    A histogram of the counts gives the least count that so many words reach, so only
+    these words come to the driver.
+    """
+    counts = written(word_counts(documents, body).where(F.col("n") > 1), "word-counts")
+    level = F.floor(F.log2("n") * 16)
+    held = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    total, least = 0, None
+    for r in held:  # some sixteen rows for each doubling
+        total += r["count"]
+        if total > most:
+            break
+        least = r.level
+    rows = counts.where(level >= least).collect() if least is not None else []
     letters, split = byte_letters(), regex.compile(vocabulary.pattern)
     whole = sorted({r.word for r in rows if split.fullmatch(r.word)}, key=str.encode)
     return build((w.encode(), merge(vocabulary, letters, w)) for w in whole)
@@ -219,11 +306,11 @@ def encode(
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder: Callable[[str], tuple[bytes, bytes]] = Encoder(shared.value, SparkFiles.get(name))
+        encoder = Encoder(shared.value, SparkFiles.get(name))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                out = [encoder(b or "") for b in part.column(1).to_pylist()]
+            for lo, hi, _, _ in text.pieces(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                out = encoder([b or "" for b in part.column(1).to_pylist()])
                 columns = {"key": part.column(0), "n_tokens": [len(i) // 4 for i, _ in out]}
                 if digests_only:
                     columns["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i, _ in out]

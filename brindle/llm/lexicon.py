@@ -2,16 +2,17 @@
 
 States with equal right languages are shared, so common suffixes are stored once. Each
 edge holds how many words of its state come before it; the sum along a path numbers
-the words in byte order, and the number selects the word's ids. The file is a few
-arrays one after another, meant to be memory-mapped: the workers of a machine then
-share one copy.
+the words in byte order, and the number selects the word's ids. Edges lie in the order
+of (state, label), so one binary search finds an edge, and many words are followed at
+once. The file is a few arrays one after another, meant to be memory-mapped: the
+workers of a machine then share one copy.
 """
 
 from __future__ import annotations
 
 import mmap
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 
@@ -55,27 +56,25 @@ def build(entries: Iterable[tuple[bytes, tuple[int, ...]]]) -> bytes:
     root = freeze(path[0])
 
     words_below: list[int] = []  # targets are always frozen before their sources
-    first, labels, targets, skips = [0], bytearray(), [], []
-    for final, edges in states:
+    keys, targets, skips = [], [], []
+    for state, (final, edges) in enumerate(states):
         before = int(final)
         for label, target in edges:
-            labels.append(label)
+            keys.append(state << 8 | label)
             targets.append(target)
             skips.append(before)
             before += words_below[target]
         words_below.append(before)
-        first.append(len(labels))
     parts = [
-        np.array(first, np.uint32).tobytes(),
+        np.array(keys, np.uint64).tobytes(),
         bytes(f for f, _ in states),
-        bytes(labels),
         np.array(targets, np.uint32).tobytes(),
         np.array(skips, np.uint32).tobytes(),
         np.array(offsets, np.uint32).tobytes(),
         np.array(ids, np.uint32).tobytes(),
     ]
     parts = [p + b"\0" * (-len(p) % 8) for p in parts]
-    header = struct.pack("<8s5Q", _MAGIC, root, len(states), len(labels), len(offsets), len(ids))
+    header = struct.pack("<8s5Q", _MAGIC, root, len(states), len(keys), len(offsets), len(ids))
     return header + b"".join(parts)
 
 
@@ -96,25 +95,36 @@ class Lexicon:
             at += got.nbytes + -got.nbytes % 8
             return got
 
-        self._first = take(np.uint32, n_states + 1)
+        self._keys = take(np.uint64, n_edges)
         self._final = take(np.uint8, n_states)
-        self._labels_at = at
-        take(np.uint8, n_edges)
         self._targets = take(np.uint32, n_edges)
         self._skips = take(np.uint32, n_edges)
         self._offsets = take(np.uint32, n_offsets)
         self._ids = take(np.uint32, n_ids)
 
-    def get(self, word: bytes) -> tuple[int, ...] | None:
-        """The word's ids, or None for a word that is not in it."""
-        state, number, base, find = self._root, 0, self._labels_at, self._map.find
-        for i in range(len(word)):
-            lo, hi = self._first[state], self._first[state + 1]
-            edge = find(word[i : i + 1], base + int(lo), base + int(hi)) - base
-            if edge < 0:
-                return None
-            number += int(self._skips[edge])
-            state = self._targets[edge]
-        if not self._final[state]:
-            return None
-        return tuple(self._ids[self._offsets[number] : self._offsets[number + 1]].tolist())
+    def get_many(self, words: Sequence[bytes]) -> list[np.ndarray | None]:
+        """The ids of each word, or None for a word that is not in it."""
+        size = np.array([len(w) for w in words], np.int64)
+        if not len(self._keys) or not len(words):
+            return [None] * len(words)
+        letters = np.frombuffer(b"".join(words), np.uint8)
+        start = np.cumsum(size) - size
+        state = np.full(len(words), self._root, np.uint64)
+        number = np.zeros(len(words), np.int64)
+        found = size > 0
+        for i in range(int(size.max())):
+            going = np.flatnonzero(found & (size > i))
+            if not len(going):
+                break
+            key = state[going] << np.uint64(8) | letters[start[going] + i].astype(np.uint64)
+            edge = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            held = self._keys[edge] == key
+            found[going[~held]] = False
+            going, edge = going[held], edge[held]
+            number[going] += self._skips[edge]
+            state[going] = self._targets[edge]
+        found &= self._final[state.astype(np.int64)] > 0
+        return [
+            self._ids[self._offsets[n] : self._offsets[n + 1]] if hit else None
+            for n, hit in zip(number.tolist(), found.tolist())
+        ]
