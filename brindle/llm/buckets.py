@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.llm.components import components
@@ -15,75 +15,93 @@ FEW = 24
 
 
 def shared_buckets(placed: DataFrame) -> DataFrame:
-    """(bucket, node, n, n_nodes, lowest) of the buckets with more than one node.
+    """(bucket, node, n_nodes, hub) of the buckets with more than one node.
 
-    ``placed`` has bigint ``bucket`` and ``node`` and a size ``n``; repeats don't matter
-    but count into ``n_nodes``, which only decides how a bucket is worked on.
+    ``placed`` has bigint ``bucket`` and ``node``; repeats make no other pairs, but count
+    into ``n_nodes``, which only decides how a bucket is worked on, and for the ``hub``,
+    the node with the most rows (then the largest): what is copied most is the likeliest
+    to be what the others are variants of.
     """
-    of_bucket = Window.partitionBy("bucket")
-    counted = placed.withColumns(
+    of_bucket, of_node = Window.partitionBy("bucket"), Window.partitionBy("bucket", "node")
+    counted = placed.withColumn("copies", F.count("*").over(of_node)).withColumns(
         {
             "n_nodes": F.count("*").over(of_bucket),
-            "lowest": F.min("node").over(of_bucket),
-            "highest": F.max("node").over(of_bucket),
+            "hub": F.max(F.struct("copies", "node")).over(of_bucket),
         }
     )
-    apart = counted.where(F.col("lowest") != F.col("highest")).drop("highest")
+    apart = counted.where(F.col("n_nodes") > F.col("hub.copies")).select("bucket", "node", "n_nodes", F.col("hub.node").alias("hub"))
     return written(apart.distinct(), "buckets")
 
 
 def linked(
     shared: DataFrame,
-    full: DataFrame,
+    contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
-    fits: Callable[[Column, Column], Column],
+    likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
 ) -> DataFrame:
     """(node, root) of the components of all verified pairs that share a bucket.
 
-    ``full`` has ``node`` and its ``content``; ``verify`` keeps the rows (a, b, content_a,
-    content_b) that link; ``fits`` says which two sizes can link at all.
+    ``likely`` drops pairs (a, b) that cannot link by what is known without their
+    contents; ``contents`` gives ``node`` and ``content`` of the nodes in a column; and
+    ``verify`` keeps the rows (a, b, content_a, content_b) that link.
 
-    Small buckets give all pairs, others pair each node with the lowest. First each
-    node's lowest partner is verified, then the pairs that this leaves in different
-    components, then all pairs of the larger buckets that are still in different ones.
-    So no pair that could join two components stays unverified, and a large group of
-    nodes that are alike costs about a pair for each node.
+    Small buckets give all pairs, others pair each node with the hub. First each node is
+    verified with one of its partners, then all pairs but those that hang on one and the
+    same partner by now, then all pairs of the larger buckets that are still in
+    different components. So no pair that could join two components stays unverified,
+    and a large group of nodes that are alike costs about a pair for each node.
     """
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def loaded(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return written(contents(ends), "contents")
+
+    def verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
         a = full.select(F.col("node").alias("a"), F.col("content").alias("content_a"))
         b = full.select(F.col("node").alias("b"), F.col("content").alias("content_b"))
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "content_a", "content_b")
         return written(verify(both).select("a", "b"), "links")
 
-    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-        other = right.select("bucket", *[F.col(c).alias(f"other_{c}") for c in right.columns if c != "bucket"])
-        both = left.join(other, "bucket").where((F.col("node") < F.col("other_node")) & fits(F.col("n"), F.col("other_n")))
-        return both
+    def paired(rows: DataFrame) -> DataFrame:
+        other = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in rows.columns if c != "bucket"])
+        return rows.join(other, "bucket").where(F.col("node") < F.col("other_node"))
 
-    few = shared.where(F.col("n_nodes") <= FEW).select("bucket", "node", "n")
+    ends = (F.col("node").alias("a"), F.col("other_node").alias("b"))
+    few = paired(shared.where(F.col("n_nodes") <= FEW).select("bucket", "node")).select(*ends)
     many = shared.where(F.col("n_nodes") > FEW)
-    star = many.where(F.col("node") > F.col("lowest")).select(F.col("lowest").alias("a"), F.col("node").alias("b"))
-    pairs = paired(few, few).select(F.col("node").alias("a"), F.col("other_node").alias("b"))
-    pairs = written(pairs.unionByName(star).distinct(), "pairs")
-
-    links = verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = links.unionByName(verified(_across(pairs, components(links))))
+    star = many.where(F.col("node") != F.col("hub")).select(
+        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+    )
+    pairs = written(likely(written(few.unionByName(star).distinct(), "pairs")), "likely-pairs")
+    # the partner that is met most often, as hubs are
+    often = pairs.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count("*").alias("n"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(often, "a")
+    best = both.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+
+    full = loaded(pairs)
+    nearest = verified(best, full)
+    hung = nearest.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    links = nearest.unionByName(verified(_across(pairs, hung), full))
     roots = components(links)
 
-    rooted = many.select("bucket", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = many.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("apart")).where("apart")
-    rooted = written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "n", "root"), "split-buckets")
-    if rooted.isEmpty():
+    rooted = written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "root"), "split-buckets")
+    rest = paired(rooted).where(F.col("root") != F.col("other_root")).select(*ends).distinct()
+    # less the pairs that were verified before
+    rest = written(likely(rest.join(pairs, ["a", "b"], "left_anti")), "likely-pairs")
+    if rest.isEmpty():
         return roots
-    rest = paired(rooted, rooted).where(F.col("root") != F.col("other_root"))
-    last = verified(rest.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct())
-    return roots if last.isEmpty() else components(links.unionByName(last))
+    return components(links.unionByName(verified(rest, loaded(rest))))
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component."""
+    """The pairs whose ends do not have one root; a node without one is its own.
+
+    Also those between a node and its own root are left out, whatever the root hangs on.
+    """
     a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
     known = pairs.join(a, "a", "left").join(b, "b", "left")
-    return known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    one = (F.coalesce("root_a", "a") == F.coalesce("root_b", "b")) | F.coalesce(F.col("root_a") == F.col("b"), F.lit(False))
+    return known.where(~(one | F.coalesce(F.col("root_b") == F.col("a"), F.lit(False)))).select("a", "b")

@@ -22,8 +22,9 @@ is lost, and only documents that consist of them for the most part ever emit one
 Copies collapse first: documents with the same set are one node. Buckets with few
 nodes give their pairs. In larger ones each node is first paired with the bucket's
 smallest; what that leaves in different components is then paired, so a group of
-thousands of near copies costs a star and not all its pairs. Every pair is verified on
-the full sets. Sets and shingles are compared by 64-bit hashes.
+thousands of near copies costs a star and not all its pairs. A pair is dropped at once
+if a dense sketch of ``BITS`` bits says that its sets differ too much, and else verified
+on the full sets. Sets and shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ from brindle.llm.tables import written
 
 SIZE = 5
 SINGLE_BELOW = 64
-COMMON = 64
+BITS = 1024
+COMMON = 16
 MOST_COMMON = 250_000
 
 
@@ -118,20 +120,30 @@ def bucket_keys(shingles: np.ndarray, common: np.ndarray, starts: list[int]) ->
     return np.concatenate(out)
 
 
+def dense_sketch(shingles: np.ndarray) -> list[int]:
+    """Parity of the shingles at each of ``BITS`` places, as signed 64-bit numbers."""
+    place = (text.mix(shingles + np.uint64(0x452821E638D01377)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(bool)).view(np.int64).tolist()
+
+
 def _sets(documents: DataFrame, key: str, body: str) -> DataFrame:
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, at in text.pieces(batch.column(1)):
-                found = [(len(s), identity(s)) for s in shingle_sets(data, at)]
-                n, node = zip(*found)
+                n, node, sketch = zip(*[(len(s), identity(s), dense_sketch(s)) for s in shingle_sets(data, at)])
                 yield pa.RecordBatch.from_pydict(
-                    {"key": batch.column(0)[lo:hi], "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64())}
+                    {
+                        "key": batch.column(0)[lo:hi],
+                        "n": pa.array(n, pa.int64()),
+                        "node": pa.array(node, pa.int64()),
+                        "sketch": pa.array(sketch, pa.list_(pa.int64())),
+                    }
                 )
 
     rows = documents.select(F.col(key).alias("key"), F.col(body).alias("body"))
-    return rows.mapInArrow(run, f"key {kind}, n bigint, node bigint")
+    return rows.mapInArrow(run, f"key {kind}, n bigint, node bigint, sketch array<bigint>")
 
 
 def _common_shingles(documents: DataFrame, body: str) -> np.ndarray:
@@ -174,7 +186,7 @@ def _common_shingles(documents: DataFrame, body: str) -> np.ndarray:
 
 
 def _buckets(documents: DataFrame, body: str, common: np.ndarray) -> DataFrame:
-    """(bucket, node, n), once per task for each set."""
+    """(bucket, node), once per task for each set."""
     shared = documents.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +194,7 @@ def _buckets(documents: DataFrame, body: str, common: np.ndarray) -> DataFrame:
         starts = band_starts(1 << 16)
         for batch in batches:
             for _, _, data, at in text.pieces(batch.column(0)):
-                keys, nodes, sizes = [], [], []
+                keys, nodes = [], []
                 for s in shingle_sets(data, at):
                     node = identity(s)
                     if node in seen or not len(s):
@@ -192,19 +204,17 @@ def _buckets(documents: DataFrame, body: str, common: np.ndarray) -> DataFrame:
                         starts = band_starts(2 * len(s))
                     keys.append(bucket_keys(s, shared.value, starts))
                     nodes.append(node)
-                    sizes.append(len(s))
                 if keys:
                     each = [len(k) for k in keys]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(keys).astype(np.int64)),
                             pa.array(np.repeat(np.array(nodes, np.int64), each)),
-                            pa.array(np.repeat(np.array(sizes, np.int32), each)),
                         ],
-                        ["bucket", "node", "n"],
+                        ["bucket", "node"],
                     )
 
-    return documents.select(F.col(body).alias("body")).mapInArrow(run, "bucket bigint, node bigint, n int")
+    return documents.select(F.col(body).alias("body")).mapInArrow(run, "bucket bigint, node bigint")
 
 
 def _similar(pairs: DataFrame) -> DataFrame:
@@ -248,11 +258,27 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text
     """
     sets = written(_sets(documents, key, body), "shingle-sets")
     shared = shared_buckets(_buckets(documents, body, _common_shingles(documents, body)))
-    # the full sets of one document for each node that meets another
-    met = shared.select("node").distinct()
-    wanted = sets.join(met, "node", "left_semi").groupBy("node").agg(F.min("key").alias("_wanted")).select("_wanted")
-    full = written(_candidate_sets(documents, key, body, wanted).distinct(), "candidate-sets")
-    roots = linked(shared, full, _similar, lambda n, m: F.greatest(n, m) * 3 <= F.least(n, m) * 4)
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sizes and dense sketches allow a link."""
+        of = sets.join(
+            pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"
+        ).groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+        a, b = (of.select(*[F.col(c).alias(f"{c}_{x}") for c in of.columns]).withColumnRenamed(f"node_{x}", x) for x in "ab")
+        distance = F.aggregate(
+            F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0),
+            lambda total, bits: total + bits,
+        )
+        alike = F.greatest("n_a", "n_b") * 3 <= F.least("n_a", "n_b") * 4
+        return pairs.join(a, "a").join(b, "b").where(alike & (distance * 7 <= F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+    def contents(nodes: DataFrame) -> DataFrame:
+        """The full sets, from one document of each node."""
+        wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("_wanted"))
+        return _candidate_sets(documents, key, body, written(wanted.select("_wanted"), "wanted")).distinct()
+
+    roots = linked(shared, contents, _similar, likely)
 
     rooted = sets.where("n > 0").join(roots, "node", "left").select("key", "n", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("key").alias("component_id"))

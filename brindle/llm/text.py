@@ -132,12 +132,17 @@ def _power(kind: str, base: int, n: int) -> np.ndarray:
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes."""
+    return span_hashes(_BYTE_CODES[data], starts, ends)
+
+
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of 64-bit codes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    n = len(data)
+    n = len(codes)
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE_CODES[data] * _power("up", _BASE, n)[:n], out=total[1:])
+    np.cumsum(codes * _power("up", _BASE, n)[:n], out=total[1:])
     spans = (total[ends] - total[starts]) * _power("down", _INVERSE, n + 1)[starts]
     return mix(spans + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
