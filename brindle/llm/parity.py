@@ -244,7 +244,7 @@ def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame
                 yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "content": pa.array(raw, pa.binary())})
 
     rows = documents.select(F.col(key).alias("_key"), F.col(body).alias("_body"))
-    chosen = rows.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi").select("_body")
+    chosen = rows.join(wanted.hint("merge"), F.col("_key") == F.col("_wanted"), "left_semi").select("_body")
     return chosen.mapInArrow(run, "node bigint, content binary")
 
 
