@@ -1,4 +1,4 @@
-"""A purchase forecast: logistic regression on what a user did in a day."""
+"""A purchase forecast from what a user did in a day: regression and naive Bayes."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.functions import DIGITS, exact, exact_sum
+from brindle.functions import DIGITS, exact, exact_sum, fixed_point
 from brindle.sources.scratch import new_place
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -90,3 +90,47 @@ def fit_and_score(
         *([label] if label not in keep else []),
         (1 / (1 + F.exp(-margin))).alias("score"),
     )
+
+
+def naive_bayes(
+    rows: DataFrame,
+    features: Sequence[str],
+    fit: Column,
+    keep: Sequence[str],
+    label: str = "label",
+) -> DataFrame:
+    """Log odds of label 1 from which of the ``features`` are above 0, in billionths.
+
+    Fitted by counting the labelled rows where ``fit`` holds: the model is one row of
+    counts, two for each feature, with one added to each (Laplace). Scores the labelled
+    others, also those whose ``fit`` is null. A missing feature counts as not above 0.
+    Each feature's term is rounded to billionths and the terms are added as whole
+    numbers, so the score does not depend on the order of addition.
+    """
+    fitted = F.coalesce(fit, F.lit(False))
+    positive = F.col(label) == 1
+    seen = {f: F.coalesce(F.col(f) > 0, F.lit(False)) for f in features}
+    counts = (
+        rows.where(F.col(label).isNotNull() & fitted)
+        .agg(
+            F.count_if(positive).alias("n_1"),
+            F.count_if(~positive).alias("n_0"),
+            *[F.count_if(positive & s).alias(f"{f}_1") for f, s in seen.items()],
+            *[F.count_if(~positive & s).alias(f"{f}_0") for f, s in seen.items()],
+        )
+        .first()
+    )
+
+    def odds(for_1: int, of_1: int, for_0: int, of_0: int) -> Column:
+        return fixed_point(F.ln(F.lit(for_1 / of_1)) - F.ln(F.lit(for_0 / of_0)))
+
+    n1, n0 = counts["n_1"], counts["n_0"]
+    score = odds(n1 + 1, n1 + n0 + 2, n0 + 1, n1 + n0 + 2)
+    for f, s in seen.items():
+        with_1, with_0 = counts[f"{f}_1"], counts[f"{f}_0"]
+        there = odds(with_1 + 1, n1 + 2, with_0 + 1, n0 + 2)
+        absent = odds(n1 - with_1 + 1, n1 + 2, n0 - with_0 + 1, n0 + 2)
+        score = score + F.when(s, there).otherwise(absent)
+    return rows.where(F.col(label).isNotNull() & ~fitted).select(
+        *keep, *([label] if label not in keep else []), score.alias("log_odds_e9")
+    )

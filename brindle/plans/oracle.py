@@ -54,6 +54,73 @@ binned as (
 )
 """
 
+_DAYS = (
+    "days as (select user_id, date_trunc('day', ts) as day, "
+    + ", ".join(f"count(*) filter (event_type = '{t}') as n_{t}" for t in _EVENT_TYPES)
+    + """ from events group by 1, 2),
+labelled as (
+  select d.*, cast(exists (select 1 from events e
+                           where e.user_id = d.user_id and e.event_type = 'purchase'
+                             and date_trunc('day', e.ts) = d.day + interval 1 day) as int) as label
+  from days d where d.day < (select date_trunc('day', max(ts)) from events)
+)"""
+)
+
+
+def _odds(for_1: str, of_1: str, for_0: str, of_0: str) -> str:
+    return (
+        f"cast(floor((ln(({for_1})::double / ({of_1})::double) - ln(({for_0})::double / ({of_0})::double))"
+        " * 1e9 + 0.5) as bigint)"
+    )
+
+
+_FORECAST = (
+    f"""{_DAYS},
+model as (
+  select count(*) filter (label = 1) as n1, count(*) filter (label = 0) as n0, """
+    + ", ".join(
+        f"count(*) filter (label = {y} and n_{t} > 0) as {t}_{y}" for t in _EVENT_TYPES for y in (0, 1)
+    )
+    + """ from labelled where day < timestamp '2024-01-22'
+),
+forecast as (
+  select user_id, day, label, """
+    + _odds("n1 + 1", "n1 + n0 + 2", "n0 + 1", "n1 + n0 + 2")
+    + "".join(
+        f" + case when n_{t} > 0 then {_odds(f'{t}_1 + 1', 'n1 + 2', f'{t}_0 + 1', 'n0 + 2')}"
+        f" else {_odds(f'n1 - {t}_1 + 1', 'n1 + 2', f'n0 - {t}_0 + 1', 'n0 + 2')} end"
+        for t in _EVENT_TYPES
+    )
+    + """ as log_odds_e9
+  from labelled, model where day >= timestamp '2024-01-22'
+)"""
+)
+
+
+def _metrics(scored: str, cut: str) -> str:
+    return f"""
+scored as (
+  select *, rank() over (order by score) as first_rank, count(*) over (partition by score) as ties
+  from ({scored})
+),
+totals as (
+  select count(*) filter (score >= {cut} and label) as tp,
+         count(*) filter (score >= {cut} and not label) as fp,
+         count(*) filter (score < {cut} and label) as fn,
+         count(*) filter (score < {cut} and not label) as tn,
+         cast(sum(2 * first_rank + ties - 1) filter (label) as hugeint) as ranks2
+  from scored
+)
+select tp, fp, fn, tn,
+       tp / nullif(tp + fp, 0)::double as precision,
+       tp / (tp + fn)::double as recall,
+       2 * tp / (2 * tp + fp + fn)::double as f1,
+       cast(ranks2 - cast(tp + fn as hugeint) * (tp + fn + 1) as double)
+         / (2 * cast(tp + fn as double) * cast(fp + tn as double)) as auc
+from totals
+"""
+
+
 ORACLE: dict[str, str] = {
     "order_features": f"""
 select c_custkey,
@@ -141,29 +208,11 @@ select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
        coalesce((f.ones + 10.0::double * p) / (f.n + 10.0::double), p) as encoded
 from lineitem l cross join overall left join fitted f using (l_suppkey)
 """,
-    "binary_metrics": """
-with scored as (
-  select l_extendedprice as score, l_returnflag = 'R' as label,
-         rank() over (order by l_extendedprice) as first_rank,
-         count(*) over (partition by l_extendedprice) as ties
-  from lineitem
-),
-totals as (
-  select count(*) filter (score >= 50000 and label) as tp,
-         count(*) filter (score >= 50000 and not label) as fp,
-         count(*) filter (score < 50000 and label) as fn,
-         count(*) filter (score < 50000 and not label) as tn,
-         cast(sum(2 * first_rank + ties - 1) filter (label) as hugeint) as ranks2
-  from scored
-)
-select tp, fp, fn, tn,
-       tp / (tp + fp)::double as precision,
-       tp / (tp + fn)::double as recall,
-       2 * tp / (2 * tp + fp + fn)::double as f1,
-       cast(ranks2 - cast(tp + fn as hugeint) * (tp + fn + 1) as double)
-         / (2 * cast(tp + fn as double) * cast(fp + tn as double)) as auc
-from totals
-""",
+    "binary_metrics": "with "
+    + _metrics("select l_extendedprice as score, l_returnflag = 'R' as label from lineitem", "50000"),
+    "purchase_forecast": f"with {_FORECAST} select * from forecast",
+    "purchase_forecast_metrics": f"with {_FORECAST}, "
+    + _metrics("select log_odds_e9::double as score, label = 1 as label from forecast", "-600000000"),
     "price_drift": f"""
 with {_CUTS},
 counted as (

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -73,3 +74,15 @@ def test_rows_with_an_unknown_fit_condition_are_scored(spark):
         F.when(F.col("id") < 100, F.when(F.col("id") < 50, True).otherwise(False)).alias("fit"),
     )
     assert model.fit_and_score(rows, ["x"], F.col("fit"), ["id"]).count() == 100
+
+
+def test_naive_bayes_by_hand(spark):
+    rows = spark.createDataFrame(
+        [(1, 2, 1, True), (2, 0, 0, True), (3, 1, 1, True), (4, 0, 1, True), (5, 3, 0, False),
+         (6, None, 1, None), (7, 1, None, False)],
+        "id bigint, x int, label int, fit boolean",
+    )
+    got = {r.id: r.log_odds_e9 for r in model.naive_bayes(rows, ["x"], F.col("fit"), ["id"]).collect()}
+    prior = math.log(4 / 6) - math.log(2 / 6)
+    there, absent = math.log(3 / 5) - math.log(1 / 3), math.log(2 / 5) - math.log(2 / 3)
+    assert got == pytest.approx({5: (prior + there) * 1e9, 6: (prior + absent) * 1e9}, abs=2)
