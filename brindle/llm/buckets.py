@@ -37,7 +37,7 @@ def linked(
     shared: DataFrame,
     contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
-    likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    likely: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, root) of the components of all verified pairs that share a bucket.
 
@@ -72,7 +72,9 @@ def linked(
     star = many.where(F.col("node") != F.col("hub")).select(
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
     )
-    pairs = written(likely(written(few.unionByName(star).distinct(), "pairs")), "likely-pairs")
+    pairs = written(few.unionByName(star).distinct(), "pairs")
+    if likely:
+        pairs = written(likely(pairs), "likely-pairs")
     # the partner that is met most often, as hubs are
     often = pairs.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count("*").alias("n"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(often, "a")
@@ -89,7 +91,9 @@ def linked(
     rooted = written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "root"), "split-buckets")
     rest = paired(rooted).where(F.col("root") != F.col("other_root")).select(*ends).distinct()
     # less the pairs that were verified before
-    rest = written(likely(rest.join(pairs, ["a", "b"], "left_anti")), "likely-pairs")
+    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if likely:
+        rest = written(likely(rest), "likely-pairs")
     if rest.isEmpty():
         return roots
     return components(links.unionByName(verified(rest, loaded(rest))))
