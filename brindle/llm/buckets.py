@@ -23,7 +23,8 @@ def shared_buckets(placed: DataFrame) -> DataFrame:
     to be what the others are variants of.
     """
     of_bucket, of_node = Window.partitionBy("bucket"), Window.partitionBy("bucket", "node")
-    counted = placed.withColumn("copies", F.count("*").over(of_node)).withColumns(
+    # one exchange serves both windows
+    counted = placed.repartition("bucket").withColumn("copies", F.count("*").over(of_node)).withColumns(
         {
             "n_nodes": F.count("*").over(of_bucket),
             "hub": F.max(F.struct("copies", "node")).over(of_bucket),
