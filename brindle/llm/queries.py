@@ -50,7 +50,7 @@ def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     documents = table(spark, base, "documents").select("doc_id", "text")
-    kept = line_dedup.without_lines(documents, line_dedup.repeated_lines(documents))
+    kept = line_dedup.without_lines(documents, line_dedup.repeated_lines(documents, rules=line_dedup.FUZZY))
     return kept.select(
         "doc_id",
         F.size("removed").cast("bigint").alias("n_removed"),
