@@ -1,9 +1,11 @@
 """Chat formatting: records of many layouts to one canonical text with a loss mask.
 
-A record is a JSON text. Its fingerprint is the hash of its nested field paths, with
+A record is a JSON text, or a struct that is typed already. Its fingerprint is the hash of its nested field paths, with
 arrays marked and values left out. The fingerprint selects a declarative mapping (a
 ``Layout``) that says at which paths the turns are; a record of an unknown layout has
 no turns and is told apart by a null ``layout``. Everything is built-in functions.
+Spark's JSON reader and variants have limits (strings of 20 million characters), so
+structs are read as they are, and a longer JSON text that cannot be read is an error.
 
 The template writes each turn as ``<|role|>role\\n``, the text, ``<|end|>\\n``. Inside
 roles and texts, ``%``, ``<`` and ``[`` are written ``%25``, ``%3C`` and ``%5B``, so no
@@ -14,15 +16,19 @@ and length in code points) over the formatted text: the texts of assistant turns
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 BEGIN, AFTER_ROLE, END = "<|role|>", "\n", "<|end|>\n"
 _ESCAPES = (("%", "%25"), ("<", "%3C"), ("[", "%5B"))
 TURNS = "array<struct<role string, text string>>"
+# A JSON text of more characters than this may be beyond what Spark parses.
+LONGEST_JSON = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -94,18 +100,44 @@ def _shape_of(paths: Sequence[str]) -> str:
     return written(tree)
 
 
+def _paths_of(kind: DataType) -> list[str]:
+    """The field paths of a struct, as a ``Layout`` writes them."""
+    out = []
+    for field in kind.fields:
+        name, inner = field.name, field.dataType
+        if isinstance(inner, ArrayType):
+            name, inner = f"{name}[]", inner.elementType
+        out += [f"{name}.{path}" for path in _paths_of(inner)] if isinstance(inner, StructType) else [name]
+    return out
+
+
 def canonical_turns(records: DataFrame, record: str = "record", layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
     """Add ``fingerprint``, ``layout`` and ``turns`` (role and text); null turns where
-    the text is null, is no JSON or has an unknown layout."""
-    parsed = records.withColumns(
-        {"v": F.try_parse_json(F.col(record)), "fingerprint": F.xxhash64(shape(F.col(record)))}
-    )
+    the record is null, is no JSON or has an unknown layout. A text of more than
+    ``LONGEST_JSON`` characters that does not parse is an error."""
+    kind = records.schema[record].dataType
+    if isinstance(kind, StructType):
+        seen = F.when(F.col(record).isNotNull(), F.xxhash64(F.lit(_shape_of(_paths_of(kind)))))
+        parsed, v = records.withColumn("fingerprint", seen), None
+    else:
+        v = F.try_parse_json(F.col(record))
+        beyond = v.isNull() & (F.length(record) > LONGEST_JSON)
+        failed = F.raise_error(F.lit("a record is too long for the JSON reader, or no JSON")).cast("bigint")
+        seen = F.when(beyond, failed).otherwise(F.xxhash64(shape(F.col(record))))
+        parsed = records.withColumns({"v": v, "fingerprint": seen})
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for known in layouts:
-        same = F.col("fingerprint") == F.xxhash64(F.lit(_shape_of(known.paths)))
+        shape_of = _shape_of(known.paths)
+        if v is None and shape_of != _shape_of(_paths_of(kind)):
+            continue
+        given = known.turns if v is not None else re.sub(
+            r"variant_get\(v, '\$\.(\w+)', '[^']*'\)", lambda m: f"`{record}`.`{m[1]}`", known.turns
+        )
+        same = F.col("fingerprint") == F.xxhash64(F.lit(shape_of))
         layout = F.when(same, F.lit(known.name)).otherwise(layout)
-        turns = F.when(same, F.expr(known.turns).cast(TURNS)).otherwise(turns)
-    return parsed.withColumns({"layout": layout, "turns": turns}).drop("v")
+        turns = F.when(same, F.expr(given).cast(TURNS)).otherwise(turns)
+    out = parsed.withColumns({"layout": layout, "turns": turns})
+    return out if v is None else out.drop("v")
 
 
 def escape(body: Column) -> Column:
@@ -199,7 +231,7 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 
 
 def records_of_turns(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", body: str = "text") -> DataFrame:
-    """One JSON record of layout ``messages`` for each key from a table of turns.
+    """One record (a struct) of layout ``messages`` for each key from a table of turns.
 
     In the order of ``turn``, nulls first, then role and text, so ties have one order.
     A conversation is one record and is put together in one place; nothing larger is.
@@ -215,5 +247,5 @@ def records_of_turns(rows: DataFrame, key: str = "conv_id", turn: str = "turn",
     )
     return rows.groupBy(F.col(key).alias("_key")).agg(ordered.alias("_turns")).select(
         F.col("_key").alias(key),
-        F.to_json(F.struct(F.col("_turns").alias("messages"))).alias("record"),
+        F.struct(F.col("_turns").alias("messages")).alias("record"),
     )

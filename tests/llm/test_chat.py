@@ -75,3 +75,20 @@ def test_records_of_turns_have_one_order(spark, seed):
         None: [("user", "x")],
     }
     assert chat.records_of_turns(frame.limit(0)).collect() == []
+
+
+def test_very_long_turns_are_whole(spark):
+    rows = spark.sql("select 1L as conv_id, 0L as turn, 'assistant' as role, repeat('a', 21000000) as text")
+    out = chat.format_turns(chat.canonical_turns(chat.records_of_turns(rows)))
+    [r] = out.select("layout", F.size("turns").alias("n"), F.length("formatted").alias("chars")).collect()
+    assert tuple(r) == ("messages", 1, 21_000_000 + len("<|role|>assistant\n<|end|>\n"))
+    made = rows.select(F.to_json(F.struct(F.array(F.struct(F.col("text").alias("content"), "role")).alias("messages"))).alias("record"))
+    with pytest.raises(Exception, match="too long for the JSON reader"):
+        chat.canonical_turns(made).select("turns").collect()
+
+
+def test_typed_records_are_read_like_json(spark):
+    rows = spark.sql("select named_struct('prompt', 'a', 'completion', 'b') as record")
+    typed = chat.canonical_turns(rows).drop("record").collect()
+    assert typed == chat.canonical_turns(rows.select(F.to_json("record").alias("record"))).drop("record").collect()
+    assert typed[0].layout == "prompt" and [tuple(t) for t in typed[0].turns] == [("user", "a"), ("assistant", "b")]
