@@ -234,7 +234,7 @@ def _similar(pairs: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame) -> DataFrame:
-    """(node, content) of the documents with the keys in ``wanted``."""
+    """(node, content) of the documents with the keys in ``wanted``, a null among them too."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,6 +245,8 @@ def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame
 
     rows = documents.select(F.col(key).alias("_key"), F.col(body).alias("_body"))
     chosen = rows.join(wanted.hint("merge"), F.col("_key") == F.col("_wanted"), "left_semi").select("_body")
+    if not wanted.where("_wanted is null").isEmpty():  # beside the join, where they would meet in one task
+        chosen = chosen.unionByName(rows.where("_key is null").select("_body"))
     return chosen.mapInArrow(run, "node bigint, content binary")
 
 
@@ -276,7 +278,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text
     def contents(nodes: DataFrame) -> DataFrame:
         """The full sets, from one document of each node."""
         wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("_wanted"))
-        return _candidate_sets(documents, key, body, written(wanted.select("_wanted"), "wanted")).distinct()
+        found = _candidate_sets(documents, key, body, written(wanted.select("_wanted"), "wanted"))
+        return found.join(nodes, "node", "left_semi").distinct()
 
     roots = linked(shared, contents, _similar, likely)
 

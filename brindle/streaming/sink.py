@@ -3,10 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from brindle.sources.scratch import new_place
 
 
+# Progress reports that a query keeps, and seconds between two looks at them.
+KEPT, EVERY = 1000, 1
+_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _dropped(query: StreamingQuery) -> int:
+    """Rows that all batches of a query dropped as too late, read while it runs."""
+    by_batch: dict[int, int] = {}
+    while True:
+        done = query.awaitTermination(EVERY)
+        for batch in query.recentProgress:
+            rows = sum(operator["numRowsDroppedByWatermark"] for operator in batch["stateOperators"])
+            by_batch[batch["batchId"]] = max(rows, by_batch.get(batch["batchId"], 0))
+        if done:
+            break
+    if by_batch and len(by_batch) != max(by_batch) - min(by_batch) + 1:
+        raise RuntimeError("reports of some batches are lost, so late rows cannot be ruled out")
+    return sum(by_batch.values())
+
+
 def run_to_table(
     stream: DataFrame, purpose: str, place: str | None = None, late: str = "drop"
 ) -> DataFrame:
@@ -21,20 +42,20 @@ def run_to_table(
     """
     spark = stream.sparkSession
     place = place or new_place(spark, purpose)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{place}/table")
-        .option("checkpointLocation", f"{place}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    dropped = sum(
-        operator["numRowsDroppedByWatermark"]
-        for batch in query.recentProgress
-        for operator in batch["stateOperators"]
-    )
+    kept = spark.conf.get(_RETENTION)
+    spark.conf.set(_RETENTION, KEPT)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{place}/table")
+            .option("checkpointLocation", f"{place}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        dropped = _dropped(query)
+    finally:
+        spark.conf.set(_RETENTION, kept)
     if dropped and late == "raise":
         raise RuntimeError(f"{dropped} rows came too late for the watermark")
     return spark.read.schema(stream.schema).parquet(f"{place}/table")

@@ -94,3 +94,13 @@ def test_identity_does_not_depend_on_order():
     data, at = text.utf8(column)
     x, y, z = [parity.identity(s) for s in parity.shingle_sets(data, at)]
     assert x == y != z
+
+
+def test_near_copies_without_a_key_link(spark):
+    words = [f"w{k}" for k in range(100)]
+    near = [" ".join([*words[: 100 - k], *(f"x{j}" for j in range(k))]) for k in (0, 9, 18)]
+    assert linked(shingles(near[0]), shingles(near[1])) and linked(shingles(near[1]), shingles(near[2]))
+    assert not linked(shingles(near[0]), shingles(near[2]))
+    # the last two hang together with the first by rows without a key only
+    got = parity.near_duplicates(frame(spark, near, [3, None, 5])).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (None, 3), (5, 3)}

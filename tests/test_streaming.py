@@ -153,3 +153,17 @@ def test_batch_and_stream_read_the_same_files(spark, tmp_path):
 def test_a_folder_on_one_machine_is_refused_on_a_cluster():
     with pytest.raises(RuntimeError):
         scratch.shared_folder(FakeSession("yarn", "file:///tmp/checkpoints"))
+
+
+def test_late_rows_of_early_batches_are_seen(spark, tmp_path):
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    late = [[(1, 1, "view")], [(2, 100, "view")], [(3, 101, "view")], [(4, 2, "view")]]
+    stream = feed(spark, tmp_path, late + [[(5 + k, 102 + k, "view")] for k in range(4)])
+    spark.conf.set(name, 2)
+    try:
+        with pytest.raises(RuntimeError, match="too late"):
+            run_to_table(stream_window_counts(stream), "test-late", late="raise")
+        assert spark.conf.get(name) == "2"
+    finally:
+        spark.conf.set(name, before)
