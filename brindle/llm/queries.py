@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, chat, decontaminate, language, licenses, line_dedup, line_rules, parity, perplexity, toxicity
+from brindle.llm import (
+    bpe, chat, decontaminate, divergence, fill_middle, language, licenses, line_dedup, line_rules, parity, perplexity,
+    toxicity,
+)
 from brindle.llm.tables import remainder, table
 
+
 def tokenizer_path(name: str) -> str:
     """A file of the installed public tokenizers."""
     from public_tokenizers import path
@@ -110,6 +114,14 @@ def op10_decontaminate(spark: SparkSession, base: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark"))
 
 
+def op12_divergence(spark: SparkSession, base: str) -> DataFrame:
+    return divergence.audit(table(spark, base, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, base: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, base, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -123,6 +135,8 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_chat,
         op10_decontaminate,
+        op12_divergence,
+        op13_fill_middle,
     )
 }
 
@@ -260,4 +274,90 @@ join reach on reach.r = d.r join docs m on m.r = reach.root
 group by d.r, d.doc_id, s.n
 """
 
-ORACLE: dict[str, str] = {"op6_ngram_jaccard": _OP6, "op4_line_rules": _OP4, "op9_chat": _OP9}
+_SHARE = "1 + ({scale}::hugeint * ({count} + 2)) // ({total} + 2 * {terms})"
+
+
+def _share(count: str, total: str, terms: str) -> str:
+    return "(" + _SHARE.format(scale=divergence.SCALE, count=count, total=total, terms=terms) + ")"
+
+
+_OP12 = rf"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+),
+words as (select r, lang, source, unnest(w) as term from docs),
+counts as (select lang, source, term, count(*) as n, count(distinct r) as docs from words group by all),
+known as (
+  select lang, term, sum(n)::bigint as total from counts group by lang, term having sum(docs) >= {divergence.LEAST}
+),
+kept as (select c.lang, c.source, c.term, c.n, k.total from counts c join known k using (lang, term)),
+langs as (select lang, count(*) as v, sum(total)::bigint as n_lang from known group by lang),
+sums as (select lang, source, sum(n)::bigint as n_group from kept group by lang, source),
+groups as (
+  select g.lang, g.source, coalesce(s.n_group, 0) as n_group, coalesce(l.v, 0) as v, coalesce(l.n_lang, 0) as n_lang
+  from (select distinct lang, source from docs) g left join sums s using (lang, source) left join langs l using (lang)
+),
+shares as (
+  select g.lang, g.source, k.term, coalesce(x.n, 0) as n,
+         {_share('coalesce(x.n, 0)', 'g.n_group', 'g.v')}::bigint as p, {_share('k.total', 'g.n_lang', 'g.v')}::bigint as q
+  from groups g join known k using (lang) left join kept x on x.lang = g.lang and x.source = g.source and x.term = k.term
+),
+pairs as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::bigint as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+all_pairs as (
+  select g.lang, g.source, h.source as item, coalesce(p.value, 0) as value
+  from groups g join groups h on g.lang = h.lang and g.source <> h.source
+  left join pairs p on p.lang = g.lang and p.source = g.source and p.item = h.source
+),
+terms as (
+  select lang, source, term as item, ((p - q) * (p - q) // (p + q))::bigint as value from shares where n > 0 and p > q
+)
+select lang, source, 'pair' as part, item, value,
+       row_number() over (partition by lang, source order by value desc, item)::int as rank
+from all_pairs
+union all
+select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item)::int as rank
+from terms qualify rank <= {divergence.MOST}
+"""
+
+_DRAWN = "('0x' || substr(h, {at}, 8))::ubigint"
+_HOLDS = " or ".join(f"contains(body, '{m}')" for m in (fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE))
+_OP13 = f"""
+with docs as (
+  select doc_id, coalesce(text, '') as body, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+),
+drawn as (
+  select doc_id, body, length(body) as n, {_DRAWN.format(at=1)} as h1, {_DRAWN.format(at=9)} as h2,
+         {_DRAWN.format(at=17)} as h3, {_DRAWN.format(at=25)} as h4
+  from docs
+),
+cuts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1))::bigint as a, greatest(h1 % (n + 1), h2 % (n + 1))::bigint as b,
+         case when n = 0 or {_HOLDS} or h3 % 100 >= {fill_middle.REARRANGED} then 'plain'
+              when h4 % 100 < {fill_middle.SPM} then 'spm' else 'psm' end as form
+  from drawn
+),
+parts as (
+  select *, substr(body, 1, a) as x, substr(body, a + 1, b - a) as y, substr(body, b + 1) as z from cuts
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then body
+              when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y
+              else '<S>' || z || '<P>' || x || '<M>' || y end) as output_sha256,
+       sha256(body) as restored_sha256
+from parts
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_line_rules": _OP4,
+    "op6_ngram_jaccard": _OP6,
+    "op9_chat": _OP9,
+    "op12_divergence": _OP12,
+    "op13_fill_middle": _OP13,
+}
