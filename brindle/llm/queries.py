@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm import (
     bpe, chat, decontaminate, divergence, fill_middle, language, licenses, line_dedup, line_rules, parity, perplexity,
-    toxicity,
+    suffix_dedup, toxicity,
 )
 from brindle.llm.tables import remainder, table
 
@@ -114,6 +114,18 @@ def op10_decontaminate(spark: SparkSession, base: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark"))
 
 
+def op11_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
+    left = suffix_dedup.without_repeats(table(spark, base, "documents"))
+    size = F.aggregate("removed", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        size.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_divergence(spark: SparkSession, base: str) -> DataFrame:
     return divergence.audit(table(spark, base, "documents"))
 
@@ -135,6 +147,7 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_chat,
         op10_decontaminate,
+        op11_suffix_dedup,
         op12_divergence,
         op13_fill_middle,
     )
