@@ -41,7 +41,7 @@ from brindle.llm import text
 from brindle.llm.tables import prepare, written
 
 LENGTH, GRAM = 400, 100
-MOST_PLACES = 10_000
+MOST_PLACES = 2_000
 CHUNK = 1 << 20
 STRING_BYTES = 1 << 20
 MARKS = "array<struct<start: bigint, windows: bigint, anchor: bigint, alone: boolean>>"
