@@ -1,4 +1,12 @@
-"""From buckets of possible partners to components of verified links."""
+"""From buckets of possible partners to components of verified links.
+
+No step pairs all nodes of a large bucket. Small buckets give their pairs; in a larger one
+each node is paired with one hub, which joins a large group of nodes that are alike at
+the price of a pair a node. Buckets whose nodes are then still in several components hold
+nodes that share what is common (a passage in many texts) and may differ elsewhere; those
+nodes are dealt again by what is rare in them (``rarest``), which loses no link, and in
+what large buckets that leaves, further hubs are elected.
+"""
 
 from __future__ import annotations
 
@@ -11,51 +19,89 @@ from brindle.llm.components import components
 from brindle.llm.tables import written
 
 # Nodes up to which a bucket gives all its pairs at once.
-FEW = 24
+FEW = 16
+# Hubs a bucket elects, one after another, before what is left of it gives its pairs.
+HUBS = 6
 
 
 def shared_buckets(placed: DataFrame) -> DataFrame:
     """(bucket, node, n_nodes, hub) of the buckets with more than one node.
 
-    ``placed`` has bigint ``bucket`` and ``node``; repeats make no other pairs, but count
-    into ``n_nodes``, which only decides how a bucket is worked on, and for the ``hub``,
-    the node with the most rows (then the largest): what is copied most is the likeliest
-    to be what the others are variants of.
+    ``placed`` has bigint ``bucket`` and ``node``; repeats make no other pairs, but decide on
+    the ``hub``, the node with the most rows (then the largest): what is copied most is the
+    likeliest to be what the others are variants of. One exchange deals the rows by
+    bucket, where a bucket with two nodes or more is told by its least and largest (its
+    rows spill if they are many). What is left, a small part, is counted by bucket and
+    node, combined before each shuffle.
+    """
+    of_bucket = Window.partitionBy("bucket")
+    ends = {"least": F.min("node").over(of_bucket), "largest": F.max("node").over(of_bucket)}
+    apart = written(placed.withColumns(ends).where("least < largest").select("bucket", "node"), "shared")
+    nodes = written(apart.groupBy("bucket", "node").agg(F.count("*").alias("copies")), "bucket-nodes")
+    of_bucket = nodes.groupBy("bucket").agg(F.count("*").alias("n_nodes"), F.max(F.struct("copies", "node")).alias("top"))
+    both = nodes.select("bucket", "node").join(of_bucket, "bucket")
+    return written(both.select("bucket", "node", "n_nodes", F.col("top.node").alias("hub")), "buckets")
+
+
+def rarest(members: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node): sets that have ``percent`` of their union in common meet in a bucket.
+
+    ``members`` has ``node``, the set's size ``n`` and its ``member``, a row each. All sets order
+    their members by how many of the sets have them, rarest first. Of two such sets each
+    has the first member they have in common within its first ``n - percent * n / 100 + 1``,
+    so those are the buckets, less the members that no other set has.
     """
-    of_bucket, of_node = Window.partitionBy("bucket"), Window.partitionBy("bucket", "node")
-    # one exchange serves both windows
-    counted = placed.repartition("bucket").withColumn("copies", F.count("*").over(of_node)).withColumns(
-        {
-            "n_nodes": F.count("*").over(of_bucket),
-            "hub": F.max(F.struct("copies", "node")).over(of_bucket),
-        }
-    )
-    apart = counted.where(F.col("n_nodes") > F.col("hub.copies")).select("bucket", "node", "n_nodes", F.col("hub.node").alias("hub"))
-    return written(apart.distinct(), "buckets")
+    times = members.groupBy("member").agg(F.count("*").alias("times"))
+    in_order = Window.partitionBy("node").orderBy("times", "member")
+    placed = members.join(times, "member").withColumn("place", F.row_number().over(in_order))
+    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return placed.where((F.col("place") <= need) & (F.col("times") > 1)).select(F.col("member").alias("bucket"), "node")
+
+
+def _pairs_of(rows: DataFrame) -> DataFrame:
+    """All pairs of a bucket's nodes, with every other column of both."""
+    other = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in rows.columns if c != "bucket"])
+    return rows.join(other, "bucket").where(F.col("node") < F.col("other_node"))
+
+
+def _ordered(one: str, other: str) -> tuple:
+    return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
+
+
+def _small_and_star(shared: DataFrame) -> DataFrame:
+    """The pairs (a, b) of small buckets, and those with the hub of larger ones."""
+    few = _pairs_of(shared.where(F.col("n_nodes") <= FEW).select("bucket", "node")).select(*_ordered("node", "other_node"))
+    star = shared.where((F.col("n_nodes") > FEW) & (F.col("node") != F.col("hub"))).select(*_ordered("hub", "node"))
+    return few.unionByName(star).distinct()
+
+
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, node, root) of the buckets whose nodes are in several components."""
+    rooted = rows.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = rooted.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("apart")).where("apart")
+    return written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "root"), "open-buckets")
 
 
 def linked(
     shared: DataFrame,
     contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
+    again: Callable[[DataFrame], DataFrame],
     likely: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, root) of the components of all verified pairs that share a bucket.
 
     ``likely`` drops pairs (a, b) that cannot link by what is known without their
-    contents; ``contents`` gives ``node`` and ``content`` of the nodes in a column; and
-    ``verify`` keeps the rows (a, b, content_a, content_b) that link.
-
-    Small buckets give all pairs, others pair each node with the hub. First each node is
-    verified with one of its partners, then all pairs but those that hang on one and the
-    same partner by now, then all pairs of the larger buckets that are still in
-    different components. So no pair that could join two components stays unverified,
-    and a large group of nodes that are alike costs about a pair for each node.
+    contents; ``contents`` gives ``node`` and ``content`` of the nodes in a column; ``verify``
+    keeps the rows (a, b, content_a, content_b) that link; ``again`` deals nodes with
+    contents into buckets (``rarest``) where every link meets.
+
+    A pair that could join two components is left unverified only if both its nodes were
+    dealt again and did not meet there, so cannot link.
     """
 
-    def loaded(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return written(contents(ends), "contents")
+    def loaded(nodes: DataFrame) -> DataFrame:
+        return written(contents(nodes), "contents")
 
     def verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
         a = full.select(F.col("node").alias("a"), F.col("content").alias("content_a"))
@@ -63,41 +109,43 @@ def linked(
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "content_a", "content_b")
         return written(verify(both).select("a", "b"), "links")
 
-    def paired(rows: DataFrame) -> DataFrame:
-        other = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in rows.columns if c != "bucket"])
-        return rows.join(other, "bucket").where(F.col("node") < F.col("other_node"))
-
-    ends = (F.col("node").alias("a"), F.col("other_node").alias("b"))
-    few = paired(shared.where(F.col("n_nodes") <= FEW).select("bucket", "node")).select(*ends)
-    many = shared.where(F.col("n_nodes") > FEW)
-    star = many.where(F.col("node") != F.col("hub")).select(
-        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
-    )
-    pairs = written(few.unionByName(star).distinct(), "pairs")
-    if likely:
-        pairs = written(likely(pairs), "likely-pairs")
+    def considered(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        return written(likely(pairs), "likely-pairs") if likely else pairs
+
+    pairs = considered(_small_and_star(shared))
     # the partner that is met most often, as hubs are
     often = pairs.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count("*").alias("n"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(often, "a")
     best = both.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
-    full = loaded(pairs)
+    full = loaded(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     nearest = verified(best, full)
     hung = nearest.select(F.col("b").alias("node"), F.col("a").alias("root"))
     links = nearest.unionByName(verified(_across(pairs, hung), full))
     roots = components(links)
 
-    rooted = many.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = rooted.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("apart")).where("apart")
-    rooted = written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "root"), "split-buckets")
-    rest = paired(rooted).where(F.col("root") != F.col("other_root")).select(*ends).distinct()
-    # less the pairs that were verified before
-    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if likely:
-        rest = written(likely(rest), "likely-pairs")
-    if rest.isEmpty():
+    active = _open(shared.where(F.col("n_nodes") > FEW), roots).select("node").distinct()
+    if active.isEmpty():
         return roots
-    return components(links.unionByName(verified(rest, loaded(rest))))
+    full = loaded(active)
+    shared = shared_buckets(again(full))
+    found = considered(_across(_small_and_star(shared), roots))
+    links = links.unionByName(verified(found, full))
+    rows = shared.where(F.col("n_nodes") > FEW)
+    for _ in range(HUBS):
+        roots = components(links)
+        rows = _open(rows, roots)
+        if rows.isEmpty():
+            return roots
+        hubs = rows.groupBy("bucket").agg(F.max(F.struct(F.xxhash64("node"), "node", "root")).alias("hub"))
+        beside = rows.join(hubs, "bucket").where("node != hub.node")
+        found = beside.where("root != hub.root").select(*_ordered("node", "hub.node")).distinct()
+        links = links.unionByName(verified(considered(found), full))
+        rows = beside.select("bucket", "node")
+    roots = components(links)
+    rest = _pairs_of(_open(rows, roots)).where("root != other_root").select(*_ordered("node", "other_node")).distinct()
+    return components(links.unionByName(verified(considered(rest), full)))
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:

@@ -20,11 +20,12 @@ blocks, each as a block of its own. The order is the same for all documents, so
 is lost, and only documents that consist of them for the most part ever emit one.
 
 Copies collapse first: documents with the same set are one node. Buckets with few
-nodes give their pairs. In larger ones each node is first paired with the bucket's
-smallest; what that leaves in different components is then paired, so a group of
-thousands of near copies costs a star and not all its pairs. A pair is dropped at once
-if a dense sketch of ``BITS`` bits says that its sets differ too much, and else verified
-on the full sets. Sets and shingles are compared by 64-bit hashes.
+nodes give their pairs, in larger ones each node is paired with a hub, and documents of
+larger buckets that this leaves in different components are dealt anew by their rarest
+shingles (``buckets``), so neither a group of thousands of near copies nor a passage in
+thousands of documents costs all its pairs. A pair is dropped at once if a dense sketch of
+``BITS`` bits says that its sets differ too much, and else verified on the full sets. Sets
+and shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import text
-from brindle.llm.buckets import linked, shared_buckets
+from brindle.llm.buckets import linked, rarest, shared_buckets
 from brindle.llm.tables import written
 
 SIZE = 5
@@ -233,6 +234,19 @@ def _similar(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
+def _members(full: DataFrame) -> DataFrame:
+    """(node, n, member) of full sets."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("content").to_pylist()):
+                member = np.frombuffer(raw, np.int64)
+                same = [np.full(len(member), x, np.int64) for x in (node, len(member))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, member)], ["node", "n", "member"])
+
+    return full.select("node", "content").mapInArrow(run, "node bigint, n bigint, member bigint")
+
+
 def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame) -> DataFrame:
     """(node, content) of the documents with the keys in ``wanted``, a null among them too."""
 
@@ -281,7 +295,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text
         found = _candidate_sets(documents, key, body, written(wanted.select("_wanted"), "wanted"))
         return found.join(nodes, "node", "left_semi").distinct()
 
-    roots = linked(shared, contents, _similar, likely)
+    roots = linked(shared, contents, _similar, lambda full: rarest(_members(full), 75), likely)
 
     rooted = sets.where("n > 0").join(roots, "node", "left").select("key", "n", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
