@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import text
@@ -32,6 +32,33 @@ from brindle.llm.tables import put_bytes, written
 
 SUFFIX = "</w>"
 CACHED_WORDS = 200_000
+# Where the library's character tables differ from Python's, over all code
+# points. It has these capitals beside those of ``str.lower`` (first, last, distance) ...
+_CAPITALS = (
+    (0x1C89, 0x1C89, 0x1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 0x1), (0xA7CE, 0xA7CE, 0x1),
+    (0xA7D2, 0xA7D2, 0x1), (0xA7D4, 0xA7D4, 0x1), (0xA7DA, 0xA7DA, 0x1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC),
+    (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+)
+# ... and these code points (first, last) are no letters in it, but in ``regex``.
+_NO_LETTERS = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CF, 0xA7CF), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D),
+    (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF),
+    (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2),
+    (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81),
+    (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5),
+    (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E),
+    (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+_LOWER = {c: c + distance for first, last, distance in _CAPITALS for c in range(first, last + 1)}
+
+
+def _class(ranges: Iterable[tuple[int, int]]) -> str:
+    return "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in ranges) + "]"
+
+
+_ODD = regex.compile(_class([*_NO_LETTERS, *((first, last) for first, last, _ in _CAPITALS)]))
 
 
 def byte_letters() -> list[str]:
@@ -164,21 +191,24 @@ class Encoder:
         self._ids: dict[str, bytes] = {}
         self._said: dict[str, bytes] = {}
         self._find = regex.compile(vocabulary.pattern).findall
+        letters = rf"[\p{{L}}--{_class(_NO_LETTERS)}]"
+        self._find_odd = regex.compile("(?V1)" + vocabulary.pattern.replace(r"\p{L}", letters)).findall
         self._cut = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
 
     def _split(self, body: str) -> list[str]:
         if "<|" not in body:
-            return self._find(self._normal(body))
+            return self._words(body)
         out: list[str] = []
         for part in self._cut.split(body):
-            out += [part] if part in self._special else self._find(self._normal(part))
+            out += [part] if part in self._special else self._words(part)
         return out
 
-    @staticmethod
-    def _normal(body: str) -> str:
+    def _words(self, body: str) -> list[str]:
         if not body.isascii():
             body = unicodedata.normalize("NFC", body).replace("Σ", "σ")
-        return body.lower()
+            if _ODD.search(body):
+                return self._find_odd(body.translate(_LOWER).lower())
+        return self._find(body.lower())
 
     def _learn(self, words: set[str]) -> None:
         """Take the ids of new words from the lexicon, and merge those it does not have."""
@@ -286,19 +316,8 @@ def shipped(spark: SparkSession, lexicon: bytes) -> str:
     return place.rsplit("/", 1)[1]
 
 
-def encode(
-    documents: DataFrame,
-    path: str,
-    key: str = "doc_id",
-    body: str = "text",
-    digests_only: bool = False,
-    lexicon: bytes | None = None,
-) -> DataFrame:
-    """``key``, ``n_tokens``, ``ids`` and ``decoded`` of every whole text.
-
-    With ``digests_only``, the SHA-256 of the ids (little-endian 32-bit) and of the
-    decoded text instead of both. No shuffle beyond the word counts.
-    """
+def encode(documents: DataFrame, path: str, key: str = "doc_id", body: str = "text", lexicon: bytes | None = None) -> DataFrame:
+    """``key``, ``n_tokens``, ``ids`` and ``decoded`` of every whole text. No shuffle beyond the word counts."""
     spark = documents.sparkSession
     vocabulary = Vocabulary.load(path)
     name = shipped(spark, compile_lexicon(documents, vocabulary, body) if lexicon is None else lexicon)
@@ -311,15 +330,26 @@ def encode(
             for lo, hi, _, _ in text.pieces(batch.column(1)):
                 part = batch.slice(lo, hi - lo)
                 out = encoder([b or "" for b in part.column(1).to_pylist()])
-                columns = {"key": part.column(0), "n_tokens": [len(i) // 4 for i, _ in out]}
-                if digests_only:
-                    columns["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i, _ in out]
-                    columns["decoded_sha256"] = [hashlib.sha256(d).hexdigest() for _, d in out]
-                else:
-                    columns["ids"] = pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i, _ in out], pa.list_(pa.int32()))
-                    columns["decoded"] = [d.decode() for _, d in out]
-                yield pa.RecordBatch.from_pydict(columns)
-
-    made = "ids_sha256 string, decoded_sha256 string" if digests_only else "ids array<int>, decoded string"
+                ids = np.frombuffer(b"".join(i for i, _ in out), "<u4").astype(np.int32)
+                cuts = np.cumsum([0, *(len(i) // 4 for i, _ in out)])
+                columns = [
+                    part.column(0),
+                    pa.array(np.diff(cuts)),
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)),
+                    pa.array([d.decode() for _, d in out], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "ids", "decoded"])
+
     rows = documents.select(F.col(key).alias("key"), F.col(body).alias("body"))
-    return rows.mapInArrow(run, f"key {kind}, n_tokens bigint, {made}").withColumnRenamed("key", key)
+    return rows.mapInArrow(run, f"key {kind}, n_tokens bigint, ids array<int>, decoded string").withColumnRenamed("key", key)
+
+
+def ids_sha256(ids: Column) -> Column:
+    """Lower-case hex sha256 of ids as little-endian unsigned 32-bit integers."""
+
+    def digests(lists: pa.Array) -> pa.Array:
+        at = lists.offsets.to_numpy()
+        raw = lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+        return pa.array([hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
+
+    return F.arrow_udf(digests, "string")(ids)

@@ -113,7 +113,7 @@ def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def clean_piece(data: np.ndarray, at: np.ndarray, keep_text: bool) -> dict[str, list | np.ndarray]:
+def clean_piece(data: np.ndarray, at: np.ndarray) -> dict[str, list | np.ndarray]:
     starts, ends, first = text.words(data, at)
     n_words = np.diff(first)
     repeat = repeated_words(text.hashes(data, starts, ends), first)
@@ -140,7 +140,7 @@ def clean_piece(data: np.ndarray, at: np.ndarray, keep_text: bool) -> dict[str,
         n_dup.append(dup)
         removed.append(gone)
         lost.append(chars)
-        cleaned.append(b"\n".join(left).decode("utf-8", "replace") if keep_text else None)
+        cleaned.append(b"\n".join(left).decode("utf-8", "replace"))
     base_failed = (n_words < 20) | (100 * repeat > 30 * n_words)
     lost_chars = np.array(lost, np.int64)
     return {
@@ -158,15 +158,15 @@ def clean_piece(data: np.ndarray, at: np.ndarray, keep_text: bool) -> dict[str,
     }
 
 
-def clean(documents: DataFrame, key: str = "doc_id", body: str = "text", keep_text: bool = True) -> DataFrame:
-    """Per document the counts, the verdict ``kept`` and, if asked for, the text that
-    is left. One pass without a shuffle; other columns are not read."""
+def clean(documents: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
+    """Per document the counts, the verdict ``kept`` and ``clean_text``, what is left of the
+    text without the failing lines. One pass without a shuffle; other columns are not read."""
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, at in text.pieces(batch.column(1)):
-                found = clean_piece(data, at, keep_text)
+                found = clean_piece(data, at)
                 yield pa.RecordBatch.from_pydict({"key": batch.column(0)[lo:hi], **found})
 
     rows = documents.select(F.col(key).alias("key"), F.col(body).alias("body"))

@@ -6,24 +6,28 @@ grouping a table by its runs' ends, contexts by grouping by their beginnings, an
 probabilities of an order by joining its counts with its contexts and with the order
 below. Contexts that begin before the text's start are zero bytes.
 
-To score, each order becomes a table of a fixed number of slots (``Settings.slots``)
-that holds a check of the run and its log probability. Where two runs want one slot,
-the more frequent one gets it and the other is scored by the lower orders, as a run
-would be that was never seen. So what is broadcast has a size that is known before
-the data are: ``8 * ORDER * slots`` bytes at most.
-
-A document's perplexity is that of its whole text per byte. It is kept if it is at most
-the ``quantile`` of the trusted documents of its language. One trusted document in
-``held`` (by a hash of its key) is not counted into the model, and the quantiles are
-those of these, so that they are what unseen good text looks like. A language with
-fewer than ``least`` of them, or null, goes by the quantile of all. The threshold lies
-``margin`` (in nats per byte) above the quantile.
+To score, the whole model is looked up, in passes over the texts: what is known of a
+byte after two given bytes lies together, so the tables are cut by these two bytes into
+shards of about ``Settings.entries`` runs (a single pair of bytes has less than 2^25), and
+a pass broadcasts one shard and scores the bytes that belong to it. More trusted text
+makes more passes, not larger broadcasts; a document's parts are added up by the hashes
+of its text.
+
+A document's perplexity is that of its whole text per byte. It is kept if it lies between
+the ``lowest`` and the ``highest`` quantile of the trusted documents of its language and
+length: text that says one word over and over is too probable or too improbable for its
+length, though not for a short one. Lengths are taken by powers of two. One trusted
+document in ``held`` (by a hash of its key) is not counted into the model, and the
+quantiles are those of these, so that they are what unseen good text looks like. Where
+fewer than ``least`` of them have a language and length, the quantiles of the language at
+all lengths hold, and if these are few, or the language is null, those of all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +39,18 @@ from brindle.llm.tables import written
 
 ORDER = 5
 FLUSH = 3_000_000
-_STEPS = 2048.0  # of a log probability
-_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_EMPTY = np.uint64(2**64 - 1)
+# Lengths from 16 to 2,048 bytes and more have quantiles of their own.
+SHORTEST, LONGEST = 4, 11
 
 
 @dataclass(frozen=True)
 class Settings:
-    slots: int = 1 << 21
-    quantile: float = 0.999
+    entries: int = 1 << 22
+    lowest: float = 0.002
+    highest: float = 0.995
     held: int = 5
-    least: int = 20
-    margin: float = 0.1
+    least: int = 40
     accuracy: int = 10_000
 
 
@@ -141,76 +146,92 @@ def probabilities(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     return made, shares
 
 
-def slot_and_check(run: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot number, and a check that is never 0, of each run."""
-    mixed = text.mix(run * np.uint64(_MULTIPLIERS[0]) + np.uint64(1))
-    return (mixed & np.uint64(slots - 1)).astype(np.int64), ((mixed >> np.uint64(48)) | np.uint64(1)).astype(np.uint32)
-
-
-def _fixed_table(rows: DataFrame, run: str, weight: str, value: Column, slots: int) -> np.ndarray:
-    """(run, value) as ``slots`` numbers: check in the upper half, value in the lower."""
-
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
-            slot, check = slot_and_check(runs, slots)
-            level = np.clip(np.rint(-batch.column(2).to_numpy(zero_copy_only=False) * _STEPS), 0, 65535)
-            packed = (check.astype(np.int64) << 16) | level.astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), batch.column(1), batch.column(0), pa.array(packed)], ["slot", "n", "run", "packed"]
-            )
-
-    placed = rows.select(F.col(run).alias("run"), F.col(weight).cast("bigint").alias("n"), value.alias("v")).mapInArrow(
-        place, "slot bigint, n bigint, run bigint, packed bigint"
-    )
-    best = placed.groupBy("slot").agg(F.max(F.struct("n", "run", "packed")).alias("m")).select("slot", "m.packed")
-    found = best.toPandas()  # at most one row for each slot
-    out = np.zeros(slots, np.uint32)
-    out[found["slot"].to_numpy()] = found["packed"].to_numpy().astype(np.uint32)
-    return out
+class Table:
+    """Runs and a number for each, in a hash table with free places beside the taken ones."""
+
+    def __init__(self, runs: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(runs)).bit_length())
+        home = self._home(runs)
+        order = np.argsort(home, kind="stable")
+        place = np.arange(len(runs))
+        place += np.maximum.accumulate(home[order] - place) if len(runs) else place
+        self.runs = np.full((1 << self.bits) + len(runs) + 1, _EMPTY)
+        self.values = np.zeros(len(self.runs), np.float32)
+        self.runs[place], self.values[place] = runs[order], values[order]
+        last = int(place[-1]) + 2 if len(runs) else 0
+        size = max(1 << self.bits, last)
+        self.runs, self.values = self.runs[:size].copy(), self.values[:size].copy()
+
+    def _home(self, runs: np.ndarray) -> np.ndarray:
+        return (text.mix(runs + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def look_up(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each run is there, and its number (0 if not)."""
+        place = self._home(runs)
+        there = self.runs[place]
+        found = there == runs
+        going = np.flatnonzero(~found & (there != _EMPTY))
+        while len(going):
+            place[going] += 1
+            there = self.runs[place[going]]
+            found[going] = there == runs[going]
+            going = going[(there != runs[going]) & (there != _EMPTY)]
+        return found, np.where(found, self.values[place], np.float32(0))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Fixed tables of log probabilities and of log shares left over, by order."""
+    """Log probabilities and log shares left over, by order, of the bytes that follow the
+    pairs from ``first`` to before ``end``."""
 
-    known: list[np.ndarray]
-    left: list[np.ndarray]
+    known: list[Table]
+    left: list[Table]
+    first: int = 0
+    end: int = 1 << 16
 
 
-def fit(trusted: DataFrame, body: str = "text", settings: Settings = Settings()) -> Model:
-    """The model of all trusted texts; without any, every byte is equally likely."""
+def fit(trusted: DataFrame, body: str = "text", settings: Settings = Settings()) -> Iterator[Model]:
+    """The shards of the model of all trusted texts, one after another; without any text
+    there is one, in which every byte is equally likely."""
     counts = written(count_runs(trusted, body), "byte-counts")
     made, shares = probabilities(counts)
-
-    def slots(order: int) -> int:
-        return min(settings.slots, 1 << 8 * min(order, 4))
-
-    return Model(
-        [_fixed_table(t, "run", "n", F.ln("p"), slots(order)) for order, t in enumerate(made, 1)],
-        [_fixed_table(t, "context", "total", F.ln("gamma"), slots(order - 1)) for order, t in enumerate(shares, 1)],
-    )
-
-
-def _look_up(table: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    slot, check = slot_and_check(run, len(table))
-    got = table[slot]
-    return (got >> np.uint32(16)) == check, (got & np.uint32(0xFFFF)) * np.float32(-1 / _STEPS)
+    kinds = [t.select(F.lit(k).alias("kind"), "run", F.ln("p").alias("v")) for k, t in enumerate(made, 1)]
+    kinds += [t.select(F.lit(-k).alias("kind"), F.col("context").alias("run"), F.ln("gamma").alias("v")) for k, t in enumerate(shares, 1)]
+    # a run's last byte is what is judged, a context's last byte is the one before it
+    before = F.when(F.col("kind") > 0, F.shiftright("run", 8)).otherwise(F.col("run")).bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+    of_pair = F.when(F.abs("kind") > 2, before).otherwise(-1)
+    rows = written(reduce(DataFrame.unionByName, kinds).withColumn("pair", of_pair).repartitionByRange("pair"), "byte-model")
+    sizes = rows.where("pair >= 0").groupBy("pair").agg(F.count("*").alias("n")).orderBy("pair").collect()  # 65,536 at most
+    bounds, held = [0], 0
+    for pair, n in sizes:
+        if held and held + n > settings.entries:
+            bounds.append(pair)
+            held = 0
+        held += n
+    for first, end in zip(bounds, [*bounds[1:], 1 << 16]):
+        own = rows.where((F.col("pair") < 0) | (F.col("pair") >= first) & (F.col("pair") < end)).drop("pair").toPandas()
+        tables = {}
+        for kind in (*range(1, ORDER + 1), *range(-ORDER, 0)):
+            some = own[own["kind"] == kind]
+            tables[kind] = Table(some["run"].to_numpy(np.int64).astype(np.uint64), some["v"].to_numpy(np.float64))
+        yield Model([tables[k] for k in range(1, ORDER + 1)], [tables[-k] for k in range(1, ORDER + 1)], first, end)
 
 
 def log_likelihoods(data: np.ndarray, at: np.ndarray, model: Model) -> np.ndarray:
-    """Natural log likelihood of each whole text."""
+    """Natural log likelihood of each whole text, as far as the shard says."""
     out, place = padded(data, at)
     run = byte_runs(out, place)
     score = np.zeros(len(run), np.float64)
-    left = np.arange(len(run))
+    pair = (run >> np.uint64(8)) & np.uint64(0xFFFF)
+    left = np.flatnonzero((pair >= np.uint64(model.first)) & (pair < np.uint64(model.end)))
+    run = run[left]
     for order in range(ORDER, 0, -1):
         own = run & np.uint64((1 << 8 * order) - 1)
-        found, value = _look_up(model.known[order - 1], own)
+        found, value = model.known[order - 1].look_up(own)
         score[left[found]] += value[found]
         left, run, own = left[~found], run[~found], own[~found]
-        seen, value = _look_up(model.left[order - 1], own >> np.uint64(8))
-        score[left] += np.where(seen, value, 0)
+        seen, value = model.left[order - 1].look_up(own >> np.uint64(8))
+        score[left] += value
         if not len(left):
             break
     score[left] += np.log(1 / 256)
@@ -218,23 +239,37 @@ def log_likelihoods(data: np.ndarray, at: np.ndarray, model: Model) -> np.ndarra
     return total[at[1:]] - total[at[:-1]]
 
 
-def score(documents: DataFrame, model: Model, key: str, body: str, carried: str) -> DataFrame:
-    """``key``, ``carried``, ``n_bytes`` and ``log_perplexity`` (null for an empty text)."""
+def _scored(documents: DataFrame, model: Model, key: str, body: str, carried: str) -> DataFrame:
+    """``key``, ``carried``, ``t1``, ``t2``, ``n_bytes`` and ``part``, what the shard says of the text."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     kinds = [documents.schema[c].dataType.simpleString() for c in (key, carried)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, at in text.pieces(batch.column(2)):
-                sizes = np.diff(at)
-                mean = -log_likelihoods(data, at, shared.value) / np.maximum(sizes, 1)
+            for lo, hi, data, at in text.pieces(batch.column(4)):
+                own = [column[lo:hi] for column in batch.columns[:4]]
+                part = pa.array(log_likelihoods(data, at, shared.value))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(sizes), pa.array(mean, mask=sizes == 0)],
-                    ["key", "carried", "n_bytes", "log_perplexity"],
+                    [*own, pa.array(np.diff(at)), part], ["key", "carried", "t1", "t2", "n_bytes", "part"]
                 )
 
     rows = documents.select(F.col(key).alias("key"), F.col(carried).alias("carried"), F.col(body).alias("body"))
-    return rows.mapInArrow(run, f"key {kinds[0]}, carried {kinds[1]}, n_bytes bigint, log_perplexity double")
+    rows = rows.select("key", "carried", F.xxhash64("body").alias("t1"), F.xxhash64(F.lit("other"), "body").alias("t2"), "body")
+    schema = f"key {kinds[0]}, carried {kinds[1]}, t1 bigint, t2 bigint, n_bytes bigint, part double"
+    out = written(rows.mapInArrow(run, schema), "perplexity-parts")
+    shared.destroy()
+    return out
+
+
+def score(documents: DataFrame, models: Iterable[Model], key: str, body: str, carried: str) -> DataFrame:
+    """``key``, ``carried``, ``n_bytes`` and ``log_perplexity`` (null for an empty text)."""
+    passes = [_scored(documents, model, key, body, carried) for model in models]
+    total, part = passes[0], F.col("part")
+    for k, other in enumerate(passes[1:], 1):
+        of_text = other.groupBy("t1", "t2").agg(F.max("part").alias(f"part_{k}"))
+        total = total.join(of_text.hint("merge"), ["t1", "t2"])
+        part = part + F.col(f"part_{k}")
+    return total.select("key", "carried", "n_bytes", F.when(F.col("n_bytes") > 0, -part / F.col("n_bytes")).alias("log_perplexity"))
 
 
 def classify(
@@ -245,40 +280,42 @@ def classify(
     language: str = "lang",
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """``key``, ``language``, ``n_bytes``, ``perplexity``, ``threshold`` and ``kept``.
+    """``key``, ``language``, ``n_bytes``, ``perplexity``, ``lowest``, ``highest`` and ``kept``.
 
     ``trusted_keys`` has the keys of trusted documents in its one column; nulls and
     repeats in it don't matter. A null or empty text has no perplexity and nothing
     speaks against it: it is kept, as all are if there is no trusted text.
     """
-    spark = documents.sparkSession
     # dealt by key at every size; Spark thins out the texts by a Bloom filter of the keys
-    keys = trusted_keys.toDF("_trusted").where("_trusted is not null").hint("merge")
-    trusted = documents.select(F.col(key).alias("_key"), F.col(body).alias("_text")).join(
-        keys, F.col("_key") == F.col("_trusted"), "left_semi"
-    )
-    held = F.pmod(F.xxhash64(F.lit("held"), "_key"), F.lit(settings.held)) == 0
-    model = fit(trusted.where(~held), "_text", settings)
-    scored = written(score(documents, model, key, body, language), "perplexities")
-    # quantiles of all trusted documents, from sketches that merge; a row for each language
-    known = scored.join(keys, F.col("key") == F.col("_trusted"), "left_semi").where("log_perplexity is not null")
-    known = known.where(F.pmod(F.xxhash64(F.lit("held"), "key"), F.lit(settings.held)) == 0)
-    cut = F.percentile_approx("log_perplexity", settings.quantile, settings.accuracy)
-    by_language = written(
-        known.where("carried is not null").groupBy("carried").agg(cut.alias("cut"), F.count("*").alias("n"))
-        .where(F.col("n") >= settings.least).drop("n").unionByName(
-            known.agg(cut.alias("cut")).select(F.lit(None).cast("string").alias("carried"), "cut").where("cut is not null")
-        ),
-        "perplexity-quantiles",
+    keys = trusted_keys.toDF("trusted").where("trusted is not null").distinct().hint("merge")
+    trusted = documents.select(F.col(key).alias("key"), F.col(body).alias("body")).join(
+        keys, F.col("key") == F.col("trusted"), "left_semi"
     )
-    overall = F.lit(by_language.where("carried is null").agg(F.max("cut")).first()[0]).cast("double")
-    cuts = by_language.where("carried is not null").select(F.col("carried").alias("_language"), "cut")
-    threshold = F.coalesce("cut", overall) + F.lit(settings.margin)
-    return scored.join(cuts, F.col("carried") == F.col("_language"), "left").select(
+    held = F.pmod(F.xxhash64(F.lit("held"), "key"), F.lit(settings.held)) == 0
+    scored = score(documents, fit(trusted.where(~held), "body", settings), key, body, language)
+    sized = scored.withColumn("size", F.greatest(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.floor(F.log2("n_bytes")))))
+    sized = written(sized, "perplexities")
+    # quantiles from sketches that merge: a row for each language and length, language, and all
+    known = sized.where("log_perplexity is not null").join(keys, F.col("key") == F.col("trusted"), "left_semi").where(held)
+    cuts = F.percentile_approx("log_perplexity", [settings.lowest, settings.highest], settings.accuracy)
+    known = known.where("carried is not null").rollup("carried", "size").agg(
+        cuts.alias("cuts"), F.count("*").alias("n"), F.grouping_id().alias("level")
+    ).unionByName(known.agg(cuts.alias("cuts"), F.count("*").alias("n")).select(
+        F.lit(None).cast("string").alias("carried"), F.lit(None).cast("bigint").alias("size"), "cuts", "n", F.lit(7).cast("bigint").alias("level")
+    ))
+    quantiles = written(known, "perplexity-quantiles").where((F.col("n") >= settings.least) | (F.col("level") == 7))
+    of_size = quantiles.where("level = 0").select(F.col("carried").alias("lang_a"), F.col("size").alias("size_a"), F.col("cuts").alias("cuts_a"))
+    of_lang = quantiles.where("level = 1").select(F.col("carried").alias("lang_b"), F.col("cuts").alias("cuts_b"))
+    overall = quantiles.where("level = 7").select("cuts").first()[0] or [None, None]
+    joined = sized.join(of_size, (F.col("carried") == F.col("lang_a")) & (F.col("size") == F.col("size_a")), "left")
+    joined = joined.join(of_lang, F.col("carried") == F.col("lang_b"), "left")
+    low, high = (F.coalesce(F.col("cuts_a")[k], F.col("cuts_b")[k], F.lit(overall[k]).cast("double")) for k in (0, 1))
+    return joined.select(
         F.col("key").alias(key),
         F.col("carried").alias(language),
         "n_bytes",
         F.exp("log_perplexity").alias("perplexity"),
-        F.exp(threshold).alias("threshold"),
-        F.coalesce(F.col("log_perplexity") <= threshold, F.lit(True)).alias("kept"),
+        F.exp(low).alias("lowest"),
+        F.exp(high).alias("highest"),
+        F.coalesce((F.col("log_perplexity") >= low) & (F.col("log_perplexity") <= high), F.lit(True)).alias("kept"),
     )

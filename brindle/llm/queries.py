@@ -49,7 +49,8 @@ def op3_quality(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op4_line_rules(spark: SparkSession, base: str) -> DataFrame:
-    return line_rules.clean(table(spark, base, "documents"), keep_text=False).drop("clean_text")
+    cleaned = line_rules.clean(table(spark, base, "documents"))
+    return cleaned.withColumn("clean_sha256", F.sha2("clean_text", 256)).drop("clean_text")
 
 
 def op5_line_dedup(spark: SparkSession, base: str) -> DataFrame:
@@ -75,7 +76,10 @@ def op7_language(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, base: str) -> DataFrame:
-    return bpe.encode(table(spark, base, "documents"), tokenizer_path("word_bpe_49k.json"), digests_only=True)
+    encoded = bpe.encode(table(spark, base, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return encoded.select(
+        "doc_id", "n_tokens", bpe.ids_sha256(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 def op9_chat(spark: SparkSession, base: str) -> DataFrame:
@@ -189,11 +193,14 @@ judged as (
          {" or ".join(f"contains(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{p}')" for p in line_rules.PHRASES)} as phrase
   from full_lines
 ),
-failed as (
-  select r, count(*) as gone, sum(chars) as lost
+failing as (
+  select r, k, chars
   from judged
   where not ended or 4 * symbols > n or separators >= 2 or (n >= 5 and 2 * capitals > letters) or phrase
-  group by r
+),
+failed as (select r, count(*) as gone, sum(chars) as lost from failing group by r),
+cleaned as (
+  select r, string_agg(line, chr(10) order by k) as clean_text from lines anti join failing using (r, k) group by r
 ),
 copies as (
   select r, sum(c - 1) as dup from (select r, line, count(*) as c from full_lines group by r, line) group by r
@@ -222,8 +229,9 @@ base as (
          coalesce(rep.n, 0)::bigint as n_repeat_words,
          len(string_split(d.text, chr(10))) as n_lines,
          coalesce(f.gone, 0)::bigint as n_lines_removed,
-         coalesce(f.lost, 0)::bigint as chars_removed
-  from docs d join words w using (r) left join copies c using (r)
+         coalesce(f.lost, 0)::bigint as chars_removed,
+         sha256(coalesce(t.clean_text, '')) as clean_sha256
+  from docs d join words w using (r) left join cleaned t using (r) left join copies c using (r)
   left join repeated rep using (r) left join failed f using (r)
 ),
 verdict as (
@@ -231,7 +239,7 @@ verdict as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and 2 * chars_removed <= word_chars as kept,
-       n_lines, n_lines_removed, chars_removed
+       n_lines, n_lines_removed, chars_removed, clean_sha256
 from verdict
 """
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from brindle.llm import bpe, lexicon
@@ -44,13 +45,26 @@ def test_digests_and_any_lexicon(spark, vocabulary):
     words = sorted({"word", "façade", "one"}, key=str.encode)
     made = lexicon.build((w.encode(), bpe.merge(vocabulary, bpe.byte_letters(), w)) for w in words)
     for given in (None, made, lexicon.build([])):
-        got = {r.doc_id: r for r in bpe.encode(frame(spark, body), PATH, digests_only=True, lexicon=given).collect()}
+        encoded = bpe.encode(frame(spark, body).repartition(3), PATH, lexicon=given)
+        got = {r.doc_id: r for r in encoded.withColumn("ids_sha256", bpe.ids_sha256(F.col("ids"))).collect()}
         for i, (ids, decoded) in enumerate(reference(body)):
+            assert (got[i].ids, got[i].decoded) == (ids, decoded)
             assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-            assert got[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     assert bpe.encode(frame(spark, []), PATH).collect() == []
 
 
+def test_every_code_point_between_letters(vocabulary):
+    """Classes and lower case are the library's for all of Unicode, not this Python's."""
+    tokenizer, encoder = Tokenizer.from_file(PATH), bpe.Encoder(vocabulary)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    for lo in range(0, 0x110000, 1 << 14):
+        texts = [f"a{chr(c)}b" for c in range(lo, lo + (1 << 14)) if not 0xD800 <= c <= 0xDFFF]
+        want = [t.ids for t in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids, _ in encoder(texts)]
+        assert [t for t, x, y in zip(texts, got, want) if x != y] == []
+
+
 def test_merging_many_is_merging_each(vocabulary):
     draw = random.Random(4)
     words = ["".join(draw.choice("aabcdeéñ!#1") for _ in range(draw.randrange(1, 25))) for _ in range(3000)] + ["a" * 50]
