@@ -1,143 +1,158 @@
 """Chat formatting: records of many layouts to one canonical text with a loss mask.
 
-A record is a JSON text, or a struct that is typed already. Its fingerprint is the hash of its nested field paths, with
-arrays marked and values left out. The fingerprint selects a declarative mapping (a
-``Layout``) that says at which paths the turns are; a record of an unknown layout has
-no turns and is told apart by a null ``layout``. Everything is built-in functions.
-Spark's JSON reader and variants have limits (strings of 20 million characters), so
-structs are read as they are, and a longer JSON text that cannot be read is an error.
-
-The template writes each turn as ``<|role|>role\\n``, the text, ``<|end|>\\n``. Inside
+A record is a struct of fields, or a JSON text that is read as one. Its fingerprint is the
+hash of the nested paths of its filled fields, arrays marked and values left out, as far
+as any ``Layout`` names them; further fields don't matter. A layout says declaratively
+which paths make which turns, and is selected by the hash of its own paths: the first of
+the layouts whose hash the record's paths, cut down to that layout's, give. So records of
+one table may differ from row to row. A record of no known layout has no turns and is
+told apart by a null ``layout``. Everything is built-in functions.
+
+An array is filled if it is not null and is empty or has an element with the named field;
+an empty one gives no turns. What is no text at the path of a text is taken as its JSON
+text. A JSON text that can't be parsed has no fields. Strings may have any length.
+
+The template writes each turn as ``<|role|>role\n``, the text, ``<|end|>\n``. Inside
 roles and texts, ``%``, ``<`` and ``[`` are written ``%25``, ``%3C`` and ``%5B``, so no
 control string of this or another common template can appear there, and undoing the
 three replacements gives the text back exactly. The mask is a list of spans (start
 and length in code points) over the formatted text: the texts of assistant turns.
+
+Columns that a function adds replace columns of the same names; no others are touched.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 BEGIN, AFTER_ROLE, END = "<|role|>", "\n", "<|end|>\n"
 _ESCAPES = (("%", "%25"), ("<", "%3C"), ("[", "%5B"))
 TURNS = "array<struct<role string, text string>>"
-# A JSON text of more characters than this may be beyond what Spark parses.
-LONGEST_JSON = 16_000_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Field paths of a record, and SQL over the variant ``v`` that gives its turns."""
+    """Which fields make the turns.
+
+    ``listed``: an array of turns with its fields of the role and of the text, where
+    ``roles`` gives other names of roles. ``fixed``: roles in order, each with the fields
+    whose texts, the empty ones left out and a blank line between, are its text.
+    """
 
     name: str
-    paths: tuple[str, ...]
-    turns: str
+    listed: tuple[str, str, str] | None = None
+    roles: tuple[tuple[str, str], ...] = ()
+    fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
+    @property
+    def paths(self) -> list[str]:
+        if self.listed:
+            array, role, body = self.listed
+            return sorted([f"{array}[].{role}", f"{array}[].{body}"])
+        return sorted(field for _, fields in self.fixed for field in fields)
 
-def _text(path: str) -> str:
-    return f"coalesce(variant_get(v, '{path}', 'string'), '')"
 
+LAYOUTS = (
+    Layout("messages", listed=("messages", "role", "content")),
+    Layout("conversations", listed=("conversations", "from", "value"), roles=(("human", "user"), ("gpt", "assistant"))),
+    Layout("prompt", fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
+    Layout("instruction", fixed=(("user", ("instruction", "input")), ("assistant", ("output",)))),
+    Layout("plain instruction", fixed=(("user", ("instruction",)), ("assistant", ("output",)))),
+)
 
-def _single(*turns: tuple[str, str]) -> str:
-    return "array(" + ", ".join(f"struct('{role}' as role, {text} as text)" for role, text in turns) + ")"
 
+def record_type(layouts: Sequence[Layout] = LAYOUTS) -> StructType:
+    """A struct with every field that some layout names."""
+    fields: dict[str, StructField] = {}
+    for layout in layouts:
+        if layout.listed:
+            array, *inner = layout.listed
+            turn = StructType([StructField(name, StringType()) for name in inner])
+            fields[array] = StructField(array, ArrayType(turn))
+        else:
+            fields |= {name: StructField(name, StringType()) for name in layout.paths}
+    return StructType(list(fields.values()))
 
-def _listed(path: str, role: str, body: str) -> str:
-    """Turns of an array of objects; other names of the roles are made canonical."""
-    kind = f"array<struct<{role} string, {body} string>>"
-    return (
-        f"transform(variant_get(v, '{path}', '{kind}'), m -> struct("
-        f"case m.{role} when 'human' then 'user' when 'gpt' then 'assistant' "
-        f"else coalesce(m.{role}, '') end as role, coalesce(m.{body}, '') as text))"
-    )
 
+def _field(record: Column, kind: StructType, name: str) -> Column | None:
+    """A field, or None where the record's type has none of that name."""
+    return record[name] if name in kind.fieldNames() else None
+
+
+def _filled(record: Column, kind: StructType, path: str) -> Column:
+    """Whether the record has a value at a path."""
+    top, _, inner = path.partition("[].")
+    value = _field(record, kind, top)
+    if value is None:
+        return F.lit(False)
+    if not inner:
+        return value.isNotNull()
+    element = kind[top].dataType
+    if not (isinstance(element, ArrayType) and isinstance(element.elementType, StructType)):
+        return F.lit(False)
+    if inner not in element.elementType.fieldNames():
+        return F.coalesce(F.size(value) == 0, F.lit(False))
+    return value.isNotNull() & ((F.size(value) == 0) | F.exists(value, lambda t: t[inner].isNotNull()))
 
-LAYOUTS = (
-    Layout("messages", ("messages[].content", "messages[].role"), _listed("$.messages", "role", "content")),
-    Layout("conversations", ("conversations[].from", "conversations[].value"), _listed("$.conversations", "from", "value")),
-    Layout("prompt", ("completion", "prompt"), _single(("user", _text("$.prompt")), ("assistant", _text("$.completion")))),
-    Layout(
-        "instruction",
-        ("input", "instruction", "output"),
-        _single(
-            ("user", f"concat_ws('\\n\\n', {_text('$.instruction')}, nullif({_text('$.input')}, ''))"),
-            ("assistant", _text("$.output")),
-        ),
-    ),
-    Layout("plain instruction", ("instruction", "output"), _single(("user", _text("$.instruction")), ("assistant", _text("$.output")))),
-)
 
+def _hash(paths: Column) -> Column:
+    return F.xxhash64(F.array_join(paths, "\n"))
 
-def shape(record: Column) -> Column:
-    """The nested field names of a JSON text, without values and their types."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
-    return F.regexp_replace(schema, r": (?:[A-Z]+(?:\(\d+(?:,\s*\d+)?\))?)(?=[,>])", "")
 
+def _turns(record: Column, layout: Layout) -> Column:
+    def turn(role: Column, body: Column) -> Column:
+        return F.struct(role.alias("role"), body.alias("text"))
 
-def _shape_of(paths: Sequence[str]) -> str:
-    """What ``shape`` gives for records with exactly these field paths."""
-    tree: dict[str, dict] = {}
-    for path in paths:
-        node = tree
-        for name in path.split("."):
-            node = node.setdefault(name, {})
+    if layout.listed:
+        array, role, body = layout.listed
 
-    def written(node: dict) -> str:
-        fields = []
-        for name in sorted(node):
-            inner = node[name]
-            bare = name.removesuffix("[]")
-            kind = f"ARRAY<{written(inner)}>" if name.endswith("[]") else written(inner) if inner else ""
-            fields.append(f"{bare}: {kind}" if kind else bare)
-        return f"OBJECT<{', '.join(fields)}>"
+        def canonical(name: Column) -> Column:
+            out = F.coalesce(name.cast("string"), F.lit(""))
+            for other, own in layout.roles:
+                out = F.when(name == other, own).otherwise(out)
+            return out
 
-    return written(tree)
+        return F.transform(record[array], lambda t: turn(canonical(t[role]), F.coalesce(t[body].cast("string"), F.lit(""))))
 
+    def joined(fields: Sequence[str]) -> Column:
+        if len(fields) == 1:
+            return F.coalesce(record[fields[0]].cast("string"), F.lit(""))
+        return F.concat_ws("\n\n", *[F.nullif(record[f].cast("string"), F.lit("")) for f in fields])
 
-def _paths_of(kind: DataType) -> list[str]:
-    """The field paths of a struct, as a ``Layout`` writes them."""
-    out = []
-    for field in kind.fields:
-        name, inner = field.name, field.dataType
-        if isinstance(inner, ArrayType):
-            name, inner = f"{name}[]", inner.elementType
-        out += [f"{name}.{path}" for path in _paths_of(inner)] if isinstance(inner, StructType) else [name]
-    return out
+    return F.array(*[turn(F.lit(role), joined(fields)) for role, fields in layout.fixed])
 
 
 def canonical_turns(records: DataFrame, record: str = "record", layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
-    """Add ``fingerprint``, ``layout`` and ``turns`` (role and text); null turns where
-    the record is null, is no JSON or has an unknown layout. A text of more than
-    ``LONGEST_JSON`` characters that does not parse is an error."""
-    kind = records.schema[record].dataType
-    if isinstance(kind, StructType):
-        seen = F.when(F.col(record).isNotNull(), F.xxhash64(F.lit(_shape_of(_paths_of(kind)))))
-        parsed, v = records.withColumn("fingerprint", seen), None
-    else:
-        v = F.try_parse_json(F.col(record))
-        beyond = v.isNull() & (F.length(record) > LONGEST_JSON)
-        failed = F.raise_error(F.lit("a record is too long for the JSON reader, or no JSON")).cast("bigint")
-        seen = F.when(beyond, failed).otherwise(F.xxhash64(shape(F.col(record))))
-        parsed = records.withColumns({"v": v, "fingerprint": seen})
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for known in layouts:
-        shape_of = _shape_of(known.paths)
-        if v is None and shape_of != _shape_of(_paths_of(kind)):
-            continue
-        given = known.turns if v is not None else re.sub(
-            r"variant_get\(v, '\$\.(\w+)', '[^']*'\)", lambda m: f"`{record}`.`{m[1]}`", known.turns
-        )
-        same = F.col("fingerprint") == F.xxhash64(F.lit(shape_of))
-        layout = F.when(same, F.lit(known.name)).otherwise(layout)
-        turns = F.when(same, F.expr(given).cast(TURNS)).otherwise(turns)
-    out = parsed.withColumns({"layout": layout, "turns": turns})
-    return out if v is None else out.drop("v")
+    """Add ``fingerprint`` (null for a null record), ``layout`` and ``turns`` (role and text)."""
+    kind, read, filled = records.schema[record].dataType, _unused(records, "read"), _unused(records, "filled")
+    value = F.col(record)
+    if not isinstance(kind, StructType):
+        kind = record_type(layouts)
+        value = F.from_json(value, kind, {"maxStringLen": str(2**31 - 1)})
+    known = sorted({path for layout in layouts for path in layout.paths})
+    paths = F.array_compact(F.array(*[F.when(_filled(F.col(read), kind, path), path) for path in known]))
+    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    for layout in reversed(layouts):
+        if {path.partition("[].")[0] for path in layout.paths} <= set(kind.fieldNames()):  # else no record of this table has it
+            own = F.array(*[F.lit(path) for path in layout.paths])
+            same = _hash(F.filter(filled, lambda path: F.array_contains(own, path))) == _hash(own)
+            name = F.when(same, layout.name).otherwise(name)
+            turns = F.when(F.col("layout") == layout.name, _turns(F.col(read), layout).cast(TURNS)).otherwise(turns)
+    seen = F.when(F.col(record).isNotNull(), _hash(F.col(filled)))
+    rows = records.withColumn(read, value).withColumn(filled, paths)
+    return rows.withColumns({"fingerprint": seen, "layout": name}).withColumn("turns", turns).drop(read, filled)
+
+
+def _unused(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` do not have."""
+    while name in rows.columns:
+        name += "_"
+    return name
 
 
 def escape(body: Column) -> Column:
@@ -163,7 +178,8 @@ def unescape_role(role: Column) -> Column:
 
 def format_turns(rows: DataFrame, turns: str = "turns") -> DataFrame:
     """Add ``formatted`` and ``loss_spans`` for an array of (role, text)."""
-    parts = F.transform(
+    parts = _unused(rows, "parts")
+    made = F.transform(
         F.col(turns),
         lambda t: F.struct(
             F.concat(F.lit(BEGIN), escape_role(t["role"]), F.lit(AFTER_ROLE)).alias("head"),
@@ -171,12 +187,9 @@ def format_turns(rows: DataFrame, turns: str = "turns") -> DataFrame:
             (t["role"] == "assistant").alias("learnt"),
         ),
     )
-    sized = rows.withColumn("_parts", parts).withColumn(
-        "formatted",
-        F.array_join(F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""),
-    )
+    whole = F.array_join(F.transform(parts, lambda p: F.concat(p["head"], p["body"], F.lit(END))), "")
     spans = F.aggregate(
-        "_parts",
+        parts,
         F.struct(
             F.lit(0).cast("bigint").alias("at"),
             F.array().cast("array<struct<start bigint, length bigint>>").alias("spans"),
@@ -200,7 +213,7 @@ def format_turns(rows: DataFrame, turns: str = "turns") -> DataFrame:
         ),
         lambda state: state["spans"],
     )
-    return sized.withColumn("loss_spans", spans).drop("_parts")
+    return rows.withColumn(parts, made).withColumns({"formatted": whole, "loss_spans": spans}).drop(parts)
 
 
 def parse_formatted(formatted: Column) -> Column:
@@ -230,22 +243,44 @@ def loss_text(formatted: Column, spans: Column) -> Column:
     )
 
 
-def records_of_turns(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", body: str = "text") -> DataFrame:
-    """One record (a struct) of layout ``messages`` for each key from a table of turns.
+def records_of_turns(
+    rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", body: str = "text", mixed: bool = False
+) -> DataFrame:
+    """``key`` and ``record``, a struct of ``record_type``, from a table of turns.
 
-    In the order of ``turn``, nulls first, then role and text, so ties have one order.
-    A conversation is one record and is put together in one place; nothing larger is.
+    In the order of ``turn``, nulls first, then role and text, so ties have one order. A
+    conversation is one record and is put together in one place; nothing larger is.
+    Records have the layout ``messages``. If ``mixed``, they are as heterogeneous as a
+    collection from many places: one question with its answer is a ``prompt`` record, and
+    half of the others (by the key's hash) are ``conversations`` records, if no role would
+    be lost by that layout's other names of roles.
     """
     one = F.struct(
         F.col(turn).alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(body), F.lit("")).alias("content"),
     )
-    ordered = F.transform(
-        F.array_sort(F.collect_list(one)),
-        lambda m: F.struct(m["content"].alias("content"), m["role"].alias("role")),
-    )
-    return rows.groupBy(F.col(key).alias("_key")).agg(ordered.alias("_turns")).select(
-        F.col("_key").alias(key),
-        F.struct(F.col("_turns").alias("messages")).alias("record"),
-    )
+    packed = rows.groupBy(F.col(key).alias("packed_key")).agg(F.array_sort(F.collect_list(one)).alias("packed_turns"))
+    turns, n = F.col("packed_turns"), F.size("packed_turns")
+    names = {layout.name: dict(layout.roles) for layout in LAYOUTS}["conversations"]
+    pair = (n == 2) & (turns[0]["role"] == "user") & (turns[1]["role"] == "assistant")
+    safe = ~F.exists(turns, lambda t: t["role"].isin(*names))
+    other = safe & (F.pmod(F.xxhash64("packed_key"), F.lit(2)) == 0)
+    layout = F.when(pair, "prompt").when(other, "conversations") if mixed else F.lit(None).cast("string")
+    layout = F.coalesce(layout, F.lit("messages"))
+
+    def named(t: Column) -> Column:
+        out = t["role"]
+        for theirs, own in names.items():
+            out = F.when(t["role"] == own, theirs).otherwise(out)
+        return F.struct(out.alias("from"), t["content"].alias("value"))
+
+    fields = {
+        "messages": F.when(layout == "messages", F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))),
+        "conversations": F.when(layout == "conversations", F.transform(turns, named)),
+        "prompt": F.when(layout == "prompt", turns[0]["content"]),
+        "completion": F.when(layout == "prompt", turns[1]["content"]),
+    }
+    kind = record_type()
+    whole = F.struct(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind])
+    return packed.select(F.col("packed_key").alias(key), whole.alias("record"))

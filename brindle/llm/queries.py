@@ -94,7 +94,7 @@ def op9_chat(spark: SparkSession, base: str) -> DataFrame:
         ).alias("t"),
     ).select("conv_id", "t.*")
     rows = table(spark, base, "conversations").select("conv_id", "turn", "role", "text").unionByName(fixed)
-    formatted = chat.format_turns(chat.canonical_turns(chat.records_of_turns(rows)))
+    formatted = chat.format_turns(chat.canonical_turns(chat.records_of_turns(rows, mixed=True)))
     back = formatted.select(
         "conv_id",
         "formatted",
