@@ -4,24 +4,29 @@ No step pairs all nodes of a large bucket. Small buckets give their pairs; in a
 each node is paired with one hub, which joins a large group of nodes that are alike at
 the price of a pair a node. Buckets whose nodes are then still in several components hold
 nodes that share what is common (a passage in many texts) and may differ elsewhere; those
-nodes are dealt again by what is rare in them (``rarest``), which loses no link, and in
-what large buckets that leaves, further hubs are elected.
+nodes are dealt again by what is rare in them (``rarest``), which loses no link. In a large
+bucket that this still leaves open, the nodes outside its main component are held against
+all of its nodes, and only pairs whose sizes and dense sketches allow a link are made.
+
+A dense sketch is the parity of a set's members at each of some hundred places, so two
+sketches differ in no more bits than their sets in members.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.llm import text
 from brindle.llm.components import components
 from brindle.llm.tables import written
 
 # Nodes up to which a bucket gives all its pairs at once.
 FEW = 16
-# Hubs a bucket elects, one after another, before what is left of it gives its pairs.
-HUBS = 6
+BITS = 1024
 
 
 def shared_buckets(placed: DataFrame) -> DataFrame:
@@ -30,17 +35,15 @@ def shared_buckets(placed: DataFrame) -> DataFrame:
     ``placed`` has bigint ``bucket`` and ``node``; repeats make no other pairs, but decide on
     the ``hub``, the node with the most rows (then the largest): what is copied most is the
     likeliest to be what the others are variants of. One exchange deals the rows by
-    bucket, where a bucket with two nodes or more is told by its least and largest (its
-    rows spill if they are many). What is left, a small part, is counted by bucket and
-    node, combined before each shuffle.
+    bucket, where a bucket with two nodes or more is told by its least and largest; only
+    the rows of those, a small part, are counted. A bucket's rows spill if they are many.
     """
     of_bucket = Window.partitionBy("bucket")
     ends = {"least": F.min("node").over(of_bucket), "largest": F.max("node").over(of_bucket)}
-    apart = written(placed.withColumns(ends).where("least < largest").select("bucket", "node"), "shared")
-    nodes = written(apart.groupBy("bucket", "node").agg(F.count("*").alias("copies")), "bucket-nodes")
-    of_bucket = nodes.groupBy("bucket").agg(F.count("*").alias("n_nodes"), F.max(F.struct("copies", "node")).alias("top"))
-    both = nodes.select("bucket", "node").join(of_bucket, "bucket")
-    return written(both.select("bucket", "node", "n_nodes", F.col("top.node").alias("hub")), "buckets")
+    apart = placed.withColumns(ends).where("least < largest")
+    nodes = apart.groupBy("bucket", "node").agg(F.count("*").alias("copies"))
+    counted = nodes.withColumns({"n_nodes": F.count("*").over(of_bucket), "top": F.max(F.struct("copies", "node")).over(of_bucket)})
+    return written(counted.select("bucket", "node", "n_nodes", F.col("top.node").alias("hub")), "buckets")
 
 
 def rarest(members: DataFrame, percent: int) -> DataFrame:
@@ -58,10 +61,23 @@ def rarest(members: DataFrame, percent: int) -> DataFrame:
     return placed.where((F.col("place") <= need) & (F.col("times") > 1)).select(F.col("member").alias("bucket"), "node")
 
 
-def _pairs_of(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket's nodes, with every other column of both."""
-    other = rows.select("bucket", *[F.col(c).alias(f"other_{c}") for c in rows.columns if c != "bucket"])
-    return rows.join(other, "bucket").where(F.col("node") < F.col("other_node"))
+def dense_sketch(members: np.ndarray) -> list[int]:
+    """Parity of the members at each of ``BITS`` places, as signed 64-bit numbers."""
+    place = (text.mix(members + np.uint64(0x452821E638D01377)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(bool)).view(np.int64).tolist()
+
+
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes ``n`` and sketches of both ends (columns with these prefixes) allow
+    ``percent`` of their union to be common."""
+    n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
+    distance = F.aggregate(
+        F.zip_with(f"{a}sketch", f"{b}sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda total, bits: total + bits,
+    )
+    alike = F.greatest(n_a, n_b) * percent <= F.least(n_a, n_b) * 100
+    return alike & (distance * (100 + percent) <= (100 - percent) * (n_a + n_b))
 
 
 def _ordered(one: str, other: str) -> tuple:
@@ -70,7 +86,9 @@ def _ordered(one: str, other: str) -> tuple:
 
 def _small_and_star(shared: DataFrame) -> DataFrame:
     """The pairs (a, b) of small buckets, and those with the hub of larger ones."""
-    few = _pairs_of(shared.where(F.col("n_nodes") <= FEW).select("bucket", "node")).select(*_ordered("node", "other_node"))
+    small = shared.where(F.col("n_nodes") <= FEW).select("bucket", "node")
+    few = small.join(small.withColumnRenamed("node", "other_node"), "bucket").where("node < other_node")
+    few = few.select(*_ordered("node", "other_node"))
     star = shared.where((F.col("n_nodes") > FEW) & (F.col("node") != F.col("hub"))).select(*_ordered("hub", "node"))
     return few.unionByName(star).distinct()
 
@@ -82,22 +100,36 @@ def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return written(rooted.join(split, "bucket", "left_semi").select("bucket", "node", "root"), "open-buckets")
 
 
+def _strays(opened: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes outside an open bucket's largest component with all its
+    nodes of other components, if their traits allow a link."""
+    sizes = opened.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main")).select("bucket", F.col("main.root").alias("main"))
+    known = traits.join(opened.select("node").distinct(), "node", "left_semi")
+    rows = written(opened.join(main, "bucket").join(known, "node"), "open-nodes")
+    stray = rows.where("root != main").drop("main")
+    stray = stray.select("bucket", *[F.col(c).alias(f"other_{c}") for c in stray.columns if c != "bucket"])
+    met = rows.join(stray, "bucket").where((F.col("root") != F.col("other_root")) & may_link("", "other_", percent))
+    return met.select(*_ordered("node", "other_node")).distinct()
+
+
 def linked(
     shared: DataFrame,
     contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
-    again: Callable[[DataFrame], DataFrame],
-    likely: Callable[[DataFrame], DataFrame] | None = None,
+    members: Callable[[DataFrame], DataFrame],
+    percent: int,
+    traits: DataFrame | None = None,
 ) -> DataFrame:
     """(node, root) of the components of all verified pairs that share a bucket.
 
-    ``likely`` drops pairs (a, b) that cannot link by what is known without their
-    contents; ``contents`` gives ``node`` and ``content`` of the nodes in a column; ``verify``
-    keeps the rows (a, b, content_a, content_b) that link; ``again`` deals nodes with
-    contents into buckets (``rarest``) where every link meets.
+    ``contents`` gives ``node`` and ``content`` of the nodes in a column; ``verify`` keeps the
+    rows (a, b, content_a, content_b) that link, which takes ``percent`` of their members'
+    union in common; ``members`` gives the rows (node, n, member, sketch) of contents.
+    ``traits`` (node, n, sketch), if known beforehand, drop pairs before contents are read.
 
     A pair that could join two components is left unverified only if both its nodes were
-    dealt again and did not meet there, so cannot link.
+    dealt again and did not meet there, or their traits speak against it: it cannot link.
     """
 
     def loaded(nodes: DataFrame) -> DataFrame:
@@ -111,7 +143,12 @@ def linked(
 
     def considered(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs, "pairs")
-        return written(likely(pairs), "likely-pairs") if likely else pairs
+        if traits is None:
+            return pairs
+        known = traits.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        ends = [known.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in known.columns]) for x in "ab"]
+        likely = pairs.join(ends[0], "a").join(ends[1], "b").where(may_link("a_", "b_", percent)).select("a", "b")
+        return written(likely, "likely-pairs")
 
     pairs = considered(_small_and_star(shared))
     # the partner that is met most often, as hubs are
@@ -129,23 +166,16 @@ def linked(
     if active.isEmpty():
         return roots
     full = loaded(active)
-    shared = shared_buckets(again(full))
-    found = considered(_across(_small_and_star(shared), roots))
-    links = links.unionByName(verified(found, full))
-    rows = shared.where(F.col("n_nodes") > FEW)
-    for _ in range(HUBS):
-        roots = components(links)
-        rows = _open(rows, roots)
-        if rows.isEmpty():
-            return roots
-        hubs = rows.groupBy("bucket").agg(F.max(F.struct(F.xxhash64("node"), "node", "root")).alias("hub"))
-        beside = rows.join(hubs, "bucket").where("node != hub.node")
-        found = beside.where("root != hub.root").select(*_ordered("node", "hub.node")).distinct()
-        links = links.unionByName(verified(considered(found), full))
-        rows = beside.select("bucket", "node")
+    dealt = members(full)
+    shared = shared_buckets(rarest(dealt.select("node", "n", "member"), percent))
+    links = links.unionByName(verified(considered(_across(_small_and_star(shared), roots)), full))
     roots = components(links)
-    rest = _pairs_of(_open(rows, roots)).where("root != other_root").select(*_ordered("node", "other_node")).distinct()
-    return components(links.unionByName(verified(considered(rest), full)))
+    opened = _open(shared.where(F.col("n_nodes") > FEW), roots)
+    if opened.isEmpty():
+        return roots
+    if traits is None:
+        traits = written(dealt.where("sketch is not null").select("node", "n", "sketch"), "traits")
+    return components(links.unionByName(verified(_strays(opened, traits, percent), full)))
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ nodes give their pairs, in larger ones each node is paired with a hub, and docum
 larger buckets that this leaves in different components are dealt anew by their rarest
 shingles (``buckets``), so neither a group of thousands of near copies nor a passage in
 thousands of documents costs all its pairs. A pair is dropped at once if a dense sketch of
-``BITS`` bits says that its sets differ too much, and else verified on the full sets. Sets
+parities says that its sets differ too much, and else verified on the full sets. Sets
 and shingles are compared by 64-bit hashes.
 """
 
@@ -38,12 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import text
-from brindle.llm.buckets import linked, rarest, shared_buckets
+from brindle.llm.buckets import dense_sketch, linked, shared_buckets
 from brindle.llm.tables import written
 
-SIZE = 5
+SIZE, PERCENT = 5, 75
 SINGLE_BELOW = 64
-BITS = 1024
 COMMON = 16
 MOST_COMMON = 250_000
 
@@ -121,12 +120,6 @@ def bucket_keys(shingles: np.ndarray, common: np.ndarray, starts: list[int]) ->
     return np.concatenate(out)
 
 
-def dense_sketch(shingles: np.ndarray) -> list[int]:
-    """Parity of the shingles at each of ``BITS`` places, as signed 64-bit numbers."""
-    place = (text.mix(shingles + np.uint64(0x452821E638D01377)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(bool)).view(np.int64).tolist()
-
-
 def _sets(documents: DataFrame, key: str, body: str) -> DataFrame:
     kind = documents.schema[key].dataType.simpleString()
 
@@ -228,14 +221,14 @@ def _similar(pairs: DataFrame) -> DataFrame:
             for x, y in zip(left, right):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                passed.append(100 * common >= 75 * (len(a) + len(b) - common))
+                passed.append(100 * common >= PERCENT * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
 def _members(full: DataFrame) -> DataFrame:
-    """(node, n, member) of full sets."""
+    """(node, n, member, sketch) of full sets; their traits are known, so no sketch is made."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +237,8 @@ def _members(full: DataFrame) -> DataFrame:
                 same = [np.full(len(member), x, np.int64) for x in (node, len(member))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, member)], ["node", "n", "member"])
 
-    return full.select("node", "content").mapInArrow(run, "node bigint, n bigint, member bigint")
+    out = full.select("node", "content").mapInArrow(run, "node bigint, n bigint, member bigint")
+    return out.withColumn("sketch", F.lit(None).cast("array<bigint>"))
 
 
 def _candidate_sets(documents: DataFrame, key: str, body: str, wanted: DataFrame) -> DataFrame:
@@ -275,27 +269,14 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", body: str = "text
     sets = written(_sets(documents, key, body), "shingle-sets")
     shared = shared_buckets(_buckets(documents, body, _common_shingles(documents, body)))
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        """The pairs whose sizes and dense sketches allow a link."""
-        of = sets.join(
-            pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"
-        ).groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
-        a, b = (of.select(*[F.col(c).alias(f"{c}_{x}") for c in of.columns]).withColumnRenamed(f"node_{x}", x) for x in "ab")
-        distance = F.aggregate(
-            F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-            F.lit(0),
-            lambda total, bits: total + bits,
-        )
-        alike = F.greatest("n_a", "n_b") * 3 <= F.least("n_a", "n_b") * 4
-        return pairs.join(a, "a").join(b, "b").where(alike & (distance * 7 <= F.col("n_a") + F.col("n_b"))).select("a", "b")
-
     def contents(nodes: DataFrame) -> DataFrame:
         """The full sets, from one document of each node."""
         wanted = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("_wanted"))
         found = _candidate_sets(documents, key, body, written(wanted.select("_wanted"), "wanted"))
         return found.join(nodes, "node", "left_semi").distinct()
 
-    roots = linked(shared, contents, _similar, lambda full: rarest(_members(full), 75), likely)
+    traits = sets.groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    roots = linked(shared, contents, _similar, _members, PERCENT, traits)
 
     rooted = sets.where("n > 0").join(roots, "node", "left").select("key", "n", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("key").alias("component_id"))

@@ -19,9 +19,11 @@ def prepare(spark: SparkSession) -> None:
     """Settings for tasks in Python: small batches, and this package on their path.
 
     Spark's own Bloom filters (of a fixed size at most) thin out the larger side of a
-    join before its shuffle also where a table has less than 10 GB.
+    join before its shuffle also where a table has less than 10 GB. The files of a
+    query's shuffles go when it ends, as what later queries need is a written table.
     """
     bounded_batches(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16m")
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
     environment = spark.sparkContext.environment
