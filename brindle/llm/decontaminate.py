@@ -1,17 +1,21 @@
 """Benchmark decontamination: every passage of every document queries a BM25 index of
 the benchmark items, and what scores high is verified by overlap.
 
-Words are runs of letters and digits, A-Z and accented capitals in lower case. A
-passage is two neighbouring stretches of ``step`` words, where ``step`` is the longest
-item's length (64 at least), so each run of words as long as an item lies wholly in
-some passage. An item's score is the BM25 weight of its words that are in the passage,
+Words are runs of letters and digits, A-Z and accented capitals in lower case. Items are
+put into bands by length (64 words or less, then by powers of two). For a band, a passage
+is two neighbouring stretches of ``step`` words, the band's longest length, so each run of
+words as long as an item lies wholly in some passage, and one long item makes no other's
+passages longer. An item's score is the BM25 weight of its words that are in the passage,
 as a share of the weight of all its words.
 
-Retrieval is block-max WAND over arrays. Items lie in blocks; the index has for each
-word and block the largest share of any item there. Words that many items hold are
-summed up beforehand into one bound per block; a passage's other words are added to
-it, and a block is skipped unless the bound reaches the threshold. In the blocks that
-are left, all items are scored exactly and all above the threshold are kept.
+Retrieval is block-max WAND over sparse arrays. Items lie in blocks; for each word and
+block the index has the largest share of any item there. Of each item only the words of
+least frequency that make up ``1 - threshold / 2`` of its weight are listed; as the rest is
+too light to reach the threshold, a passage that shares none of them with a block never
+meets it. Of the blocks that it does meet, it adds up the largest shares of listed words,
+and skips a block if that and all that isn't listed stay below the threshold. In the
+blocks that are left, all items are scored exactly and all above the threshold are kept.
+Work is done in portions of ``PORTION`` entries, so memory doesn't grow with the index.
 
 Verification: the item's answer is what follows its last question mark, or else its
 last quarter; the question is what comes before. Both must have at least ``overlap`` of
@@ -36,6 +40,8 @@ from brindle.llm import text
 
 WORDS_PER_INDEX = 500_000
 BLOCK = 4
+SHORTEST_STEP = 64
+PORTION = 1 << 20
 K1, B = 1.2, 0.75
 SCHEMA = "item_id {item}, score double, question_overlap double, answer_overlap double"
 
@@ -47,24 +53,36 @@ def word_codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 @dataclass(frozen=True)
-class Index:
-    """``vocabulary``: sorted word hashes. ``bounds``: word -> (block, largest share), as a
-    flat list cut by ``cuts``, for words that are not common. ``common_bound``: of each
-    block. ``shares``: per block, its words and a row of item shares for each.
-    ``parts``: per item, its question's and its answer's words."""
+class Band:
+    """Items of similar length. ``vocabulary``: sorted word hashes. Word -> blocks where it is
+    listed (``listed_cuts``, ``listed_blocks``) with its largest share (``listed_bounds``);
+    ``unlisted``: of each block, the largest sum of shares that are not listed. Block -> all
+    its (word, place in the block, share), cut by ``entry_cuts``. ``items``: their numbers."""
 
     step: int
+    items: np.ndarray
     vocabulary: np.ndarray
-    cuts: np.ndarray
-    blocks: np.ndarray
-    bounds: np.ndarray
-    common_bound: np.ndarray
-    shares: list[tuple[np.ndarray, np.ndarray]]
+    listed_cuts: np.ndarray
+    listed_blocks: np.ndarray
+    listed_bounds: np.ndarray
+    unlisted: np.ndarray
+    entry_cuts: np.ndarray
+    entry_terms: np.ndarray
+    entry_places: np.ndarray
+    entry_shares: np.ndarray
+
+
+@dataclass(frozen=True)
+class Index:
+    """``parts``: per item, its question's and its answer's words."""
+
+    threshold: float
+    bands: list[Band]
     parts: list[tuple[np.ndarray, np.ndarray]]
 
 
-def build_index(bodies: Sequence[str | None], common: float = 0.1) -> Index:
-    """The index of item texts; items without words are in it and match nothing."""
+def build_index(bodies: Sequence[str | None], threshold: float = 0.6) -> Index:
+    """The index of item texts; items without words are in no band and match nothing."""
     data, at = text.utf8(pa.array(bodies, pa.string()))
     codes, first = word_codes(data, at)
     vocabulary, term = np.unique(codes, return_inverse=True)
@@ -77,22 +95,11 @@ def build_index(bodies: Sequence[str | None], common: float = 0.1) -> Index:
     mean = max(1.0, sizes.mean()) if n else 1.0
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[item] / mean))
     share = weight / np.bincount(item, weight, n)[item]
-
-    block = item // BLOCK
-    n_blocks = -(-n // BLOCK)
-    rare = df[term] <= max(1, common * n)
-    flat = np.unique(term[rare] * max(1, n_blocks) + block[rare], return_inverse=True)
-    largest = np.zeros(len(flat[0]))
-    np.maximum.at(largest, flat[1], share[rare])
-    of_term, of_block = np.divmod(flat[0], max(1, n_blocks))
-    common_of = np.bincount(item[~rare], share[~rare], n_blocks * BLOCK) if n else np.zeros(0)
-    shares = []
-    for k in range(n_blocks):
-        mine = block == k
-        own, local = np.unique(term[mine], return_inverse=True)
-        table = np.zeros((len(own), BLOCK))
-        table[local, item[mine] % BLOCK] = share[mine]
-        shares.append((own, table))
+    step = np.maximum(SHORTEST_STEP, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    bands = []
+    for length in np.unique(step[sizes > 0]).tolist():
+        mine = step[item] == length
+        bands.append(_band(length, item[mine], term[mine], share[mine], vocabulary, df, threshold))
     parts = []
     for i, body in enumerate(bodies):
         own = codes[first[i] : first[i + 1]]
@@ -100,18 +107,60 @@ def build_index(bodies: Sequence[str | None], common: float = 0.1) -> Index:
         tail_data, tail_at = text.utf8(pa.array([tail]))
         n_answer = len(word_codes(tail_data, tail_at)[0]) or -(-len(own) // 4)
         parts.append((own[: len(own) - n_answer], own[len(own) - n_answer :]))
-    return Index(
-        int(max(64, sizes.max())) if n else 64,
-        vocabulary,
-        np.searchsorted(of_term, np.arange(len(vocabulary) + 1)),
+    return Index(threshold, bands, parts)
+
+
+def _band(
+    step: int, item: np.ndarray, term: np.ndarray, share: np.ndarray, words: np.ndarray, df: np.ndarray, threshold: float
+) -> Band:
+    used, term_ = np.unique(term, return_inverse=True)
+    items, place = np.unique(item, return_inverse=True)
+    block, n_blocks = place // BLOCK, -(-len(items) // BLOCK)
+    # of each item the rarest words come first, and are listed until they weigh enough
+    order = np.lexsort((term, df[term], item))
+    before = np.cumsum(share[order]) - share[order]
+    heads = np.searchsorted(item[order], items)
+    before -= np.repeat(before[heads], np.diff(np.append(heads, len(order))))
+    listed = np.zeros(len(item), bool)
+    listed[order] = before < 1 - threshold / 2
+    unlisted = np.zeros(n_blocks)
+    np.maximum.at(unlisted, np.arange(len(items)) // BLOCK, np.bincount(place, np.where(listed, 0, share), len(items)))
+    pairs, where = np.unique(term_[listed] * n_blocks + block[listed], return_inverse=True)
+    bounds = np.zeros(len(pairs))
+    np.maximum.at(bounds, where, share[listed])
+    of_term, of_block = np.divmod(pairs, n_blocks)
+    by_block = np.argsort(block, kind="stable")
+    return Band(
+        step,
+        items,
+        words[used],
+        np.searchsorted(of_term, np.arange(len(used) + 1)),
         of_block,
-        largest,
-        common_of.reshape(-1, BLOCK).max(axis=1) if n else np.zeros(0),
-        shares,
-        parts,
+        bounds,
+        unlisted,
+        np.searchsorted(block[by_block], np.arange(n_blocks + 1)),
+        term_[by_block],
+        (place % BLOCK)[by_block],
+        share[by_block],
     )
 
 
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range, and element, for all elements of ranges."""
+    size = hi - lo
+    of = np.repeat(np.arange(len(lo)), size)
+    return of, np.arange(len(of)) + np.repeat(lo - np.cumsum(size) + size, size)
+
+
+def _portions(size: np.ndarray) -> Iterator[slice]:
+    """Slices of neighbours with about ``PORTION`` entries, one at least."""
+    total, lo = np.cumsum(size), 0
+    while lo < len(size):
+        hi = max(int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PORTION, "right")), lo + 1)
+        yield slice(lo, hi)
+        lo = hi
+
+
 def runs(codes: np.ndarray, size: int = 3) -> np.ndarray:
     """Hashes of the ``size``-word runs; of fewer words, the whole."""
     if len(codes) == 0:
@@ -132,52 +181,61 @@ def overlap_of(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(own, there).mean())
 
 
-def search_piece(
-    data: np.ndarray, at: np.ndarray, index: Index, threshold: float, overlap: float
-) -> dict[tuple[int, int], tuple[float, float, float]]:
+def _hits(band: Band, codes: np.ndarray, first: np.ndarray, threshold: float) -> Iterator[tuple[int, int, int, float]]:
+    """(row, first word of the passage, item, score) of all scores from the threshold on."""
+    place = np.searchsorted(band.vocabulary, codes)
+    place[place == len(band.vocabulary)] = 0
+    where = np.flatnonzero(band.vocabulary[place] == codes)
+    # stretches: numbered over all rows, none crosses a row's end
+    per_row = -(-np.diff(first) // band.step)
+    base = np.concatenate([[0], np.cumsum(per_row)])
+    row = text.rows_of(where, first)
+    stretch = base[row] + (where - first[row]) // band.step
+    n_stretches, n_terms, n_blocks = int(base[-1]), len(band.vocabulary), len(band.unlisted)
+    last = np.zeros(n_stretches + 1, bool)
+    last[base[1:][per_row > 0] - 1] = True  # the last stretch of a row has no next one
+    there = np.unique(stretch * n_terms + place[where])  # (stretch, word)
+    # a word is in the passage that begins with its stretch, and in the one before
+    early = there[(there // n_terms > 0) & ~last[there // n_terms - 1]] - n_terms
+    held = np.unique(np.concatenate([there, early]))
+    passage, term = np.divmod(held, n_terms)
+    lo, hi = band.listed_cuts[term], band.listed_cuts[term + 1]
+    heads = np.searchsorted(passage, np.arange(n_stretches + 1))  # whole passages go into a portion
+    weight = np.concatenate([[0], np.cumsum(hi - lo)])
+    for some in _portions(weight[heads[1:]] - weight[heads[:-1]]):
+        a, b = heads[some.start], heads[some.stop]
+        of, at = _spread(lo[a:b], hi[a:b])
+        met, which = np.unique(passage[a:b][of] * n_blocks + band.listed_blocks[at], return_inverse=True)
+        bound = np.bincount(which, band.listed_bounds[at], len(met)) + band.unlisted[met % n_blocks]
+        pairs = met[bound >= threshold - 1e-9]
+        block = pairs % n_blocks
+        sizes = band.entry_cuts[block + 1] - band.entry_cuts[block]
+        for part in _portions(sizes):
+            own = pairs[part]
+            k, entry = _spread(band.entry_cuts[own % n_blocks], band.entry_cuts[own % n_blocks + 1])
+            asked = own[k] // n_blocks * n_terms + band.entry_terms[entry]
+            found = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+            share = np.where(held[found] == asked, band.entry_shares[entry], 0.0)
+            scores = np.bincount(k * BLOCK + band.entry_places[entry], share, len(own) * BLOCK)
+            for hit in np.flatnonzero(scores >= threshold).tolist():
+                s, number = int(own[hit // BLOCK] // n_blocks), int(own[hit // BLOCK] % n_blocks) * BLOCK + hit % BLOCK
+                r = int(np.searchsorted(base, s, "right")) - 1
+                yield r, int(first[r]) + (s - int(base[r])) * band.step, int(band.items[number]), float(scores[hit])
+
+
+def search_piece(data: np.ndarray, at: np.ndarray, index: Index, overlap: float) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(row, item) -> best score and the overlaps of the verified hits."""
     codes, first = word_codes(data, at)
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    if not len(codes) or not len(index.vocabulary):
+    if not len(codes):
         return found
-    place = np.searchsorted(index.vocabulary, codes)
-    place[place == len(index.vocabulary)] = 0
-    where = np.flatnonzero(index.vocabulary[place] == codes)
-    # stretches: numbered over all rows, none crosses a row's end
-    per_row = -(-np.diff(first) // index.step)
-    base = np.concatenate([[0], np.cumsum(per_row)])
-    row = text.rows_of(where, first)
-    stretch = base[row] + (where - first[row]) // index.step
-    n_stretches, n_terms, n_blocks = int(base[-1]), len(index.vocabulary), len(index.common_bound)
-    follows = np.ones(n_stretches, bool)
-    follows[base[1:][per_row > 0] - 1] = False  # the last stretch of a row has no next one
-    single = np.unique(stretch * n_terms + place[where])
-    stretch, term = np.divmod(single, n_terms)
-    begins = np.searchsorted(stretch, np.arange(n_stretches + 1))
-
-    sizes = index.cuts[term + 1] - index.cuts[term]
-    source = np.repeat(index.cuts[term] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-    source += np.arange(len(source))
-    bound = np.bincount(
-        np.repeat(stretch, sizes) * n_blocks + index.blocks[source],
-        index.bounds[source],
-        n_stretches * n_blocks,
-    ).reshape(n_stretches, n_blocks)
-    after = np.where(follows[:, None], np.roll(bound, -1, axis=0), 0)
-    likely = np.argwhere(bound + after + index.common_bound >= threshold)
-    for s, k in likely.tolist():
-        end = s + 2 if follows[s] else s + 1
-        own, table = index.shares[k]
-        scores = table[np.isin(own, term[begins[s] : begins[end]])].sum(axis=0)
-        for j in np.flatnonzero(scores >= threshold).tolist():
-            r = int(np.searchsorted(base, s, "right")) - 1
-            word = int(first[r]) + (s - int(base[r])) * index.step
-            passage = codes[word : min(word + 2 * index.step, int(first[r + 1]))]
-            question, answer = (overlap_of(p, passage) for p in index.parts[k * BLOCK + j])
+    for band in index.bands:
+        for r, word, item, score in _hits(band, codes, first, index.threshold):
+            passage = codes[word : min(word + 2 * band.step, int(first[r + 1]))]
+            question, answer = (overlap_of(p, passage) for p in index.parts[item])
             if question >= overlap and answer >= overlap:
-                hit = (float(scores[j]), question, answer)
-                here = (r, k * BLOCK + j)
-                found[here] = max(found.get(here, hit), hit)
+                hit = (score, question, answer)
+                found[r, item] = max(found.get((r, item), hit), hit)
     return found
 
 
@@ -205,13 +263,13 @@ def contaminated(
         mine = items.where(of_index == number).orderBy("item", "body").toPandas()
         ids = pa.Array.from_pandas(mine["item"])
         bodies = [b if isinstance(b, str) else None for b in mine["body"]]
-        shared = spark.sparkContext.broadcast((build_index(bodies), ids))
+        shared = spark.sparkContext.broadcast((build_index(bodies, threshold), ids))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
             for batch in batches:
                 for lo, hi, data, at in text.pieces(batch.column(1)):
-                    found = search_piece(data, at, index, threshold, overlap)
+                    found = search_piece(data, at, index, overlap)
                     if found:
                         score, question, answer = zip(*found.values())
                         yield pa.RecordBatch.from_pydict(

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,13 @@ def brute(texts, items, threshold):
             w[t] = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(b) / mean))
         total = sum(w.values())
         weights.append({t: x / total for t, x in w.items()})
-    step = max(64, max(map(len, bags)))
     out = {}
     for r, body in enumerate(texts):
         own = words(body)
-        for s in range(max(1, math.ceil(len(own) / step))):
-            passage = set(own[s * step : (s + 2) * step])
-            for i, w in enumerate(weights):
+        for i, w in enumerate(weights):
+            step = max(64, 1 << (len(bags[i]) - 1).bit_length())
+            for s in range(max(1, math.ceil(len(own) / step))):
+                passage = set(own[s * step : (s + 2) * step])
                 score = sum(x for t, x in w.items() if t in passage)
                 if w and score >= threshold:
                     out[r, i] = max(out.get((r, i), 0), score)
@@ -56,14 +57,38 @@ def corpus():
     return items, texts
 
 
-def test_retrieves_all_above_the_threshold():
+@pytest.mark.parametrize("threshold, portion", [(0.55, 1 << 20), (0.55, 7), (0.2, 100), (0.9, 100), (1.0, 1)])
+def test_retrieves_all_above_the_threshold(monkeypatch, threshold, portion):
+    monkeypatch.setattr(decontaminate, "PORTION", portion)
     items, texts = corpus()
-    index = decontaminate.build_index(items)
+    items += ["w1 w2", "the of and", " ".join(f"long{k}" for k in range(300)), items[0]]
+    texts += [items[-2] + " more", "the of and", items[0]]
     data, at = text.utf8(pa.array(texts))
-    got = decontaminate.search_piece(data, at, index, 0.55, 0.0)
-    want = brute(texts, items, 0.55)
-    assert set(got) == set(want) and len(want) >= 20
-    assert all(got[k][0] == pytest.approx(want[k]) for k in want)
+    got = decontaminate.search_piece(data, at, decontaminate.build_index(items, threshold), 0.0)
+    want = {k: v for k, v in brute(texts, items, threshold - 1e-12).items()}
+    sure = {k for k, v in want.items() if v > threshold + 1e-9}
+    assert sure <= set(got) <= set(want) and len(want) >= 8
+    assert all(got[k][0] == pytest.approx(want[k]) for k in got)
+
+
+def test_memory_does_not_grow_with_the_index():
+    """One piece of text against an index of almost the allowed size, and a very long item."""
+    draw = np.random.default_rng(3)
+
+    def some(n):  # every other word is one of a hundred
+        return [f"w{a if c else 100 + b}" for a, b, c in zip(draw.integers(0, 100, n), draw.integers(0, 100_000, n), draw.integers(0, 2, n))]
+
+    rank = some(480_000)
+    items = [" ".join(rank[i : i + 12]) for i in range(0, 480_000, 12)] + [" ".join(f"v{k}" for k in range(10_000))]
+    index = decontaminate.build_index(items)
+    body = " ".join([*some(200_000), items[77], items[-1]])
+    data, at = text.utf8(pa.array([body]))
+    tracemalloc.start()
+    got = decontaminate.search_piece(data, at, index, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(0, 77), (0, 40_000)} <= set(got)
+    assert peak < 300e6
 
 
 def test_finds_whole_items_wherever_they_are(spark):
