@@ -68,9 +68,12 @@ def cut_points(rows: DataFrame, value: Column, n: int) -> list[int] | None:
     holds all distinct values in one task. This narrows down: each pass counts the
     rows per slot in the stretches that enclose a quantile and keeps the enclosing
     slots, until a slot is a single value. With 10^4 slots a range of 10^12 takes
-    three passes, and only slot counts are shuffled.
+    three passes, and only slot counts are shuffled. The values are worked out once and
+    written as a table of one column, which the passes read.
     """
-    axis = rows.select(value.alias("x")).where(F.col("x").isNotNull())
+    spark, place = rows.sparkSession, new_place(rows.sparkSession, "quantile-values")
+    rows.select(value.cast("bigint").alias("x")).where(F.col("x").isNotNull()).write.parquet(place)
+    axis = spark.read.schema("x bigint").parquet(place)
     total, low, high = axis.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if not total:
         return None

@@ -142,6 +142,24 @@ def test_late_rows_can_be_an_error(spark, tmp_path):
         run_to_table(stream_window_counts(stream), "test-late", late="raise")
 
 
+def test_a_place_that_lost_rows_is_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    batches = [[(1, 30, "view")], [(2, 31, "view")], [(3, 60, "view")], [(4, 1, "view")]]
+    stream, place = feed(spark, tmp_path / "in", batches), f"file://{tmp_path}/place"
+    with pytest.raises(RuntimeError, match="too late"):
+        run_to_table(stream_window_counts(stream), "test-late", place, late="raise")
+    with pytest.raises(RuntimeError, match="earlier run"):
+        run_to_table(stream_window_counts(stream), "test-late", place, late="raise")
+    assert run_to_table(stream_window_counts(stream), "test-late", place).count() == 1
+
+
+def test_a_clean_place_goes_on(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream, place = feed(spark, tmp_path / "in", [[(1, 30, "view")], [(2, 60, "view")]]), f"file://{tmp_path}/place"
+    for _ in range(2):
+        run_to_table(stream_window_counts(stream), "test-late", place, late="raise")
+
+
 def test_batch_and_stream_read_the_same_files(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     events.limit(100).write.parquet(f"{tmp_path}/events.parquet")
