@@ -61,10 +61,10 @@ def rarest(members: DataFrame, percent: int) -> DataFrame:
     return placed.where((F.col("place") <= need) & (F.col("times") > 1)).select(F.col("member").alias("bucket"), "node")
 
 
-def dense_sketch(members: np.ndarray) -> list[int]:
-    """Parity of the members at each of ``BITS`` places, as signed 64-bit numbers."""
-    place = (text.mix(members + np.uint64(0x452821E638D01377)) % np.uint64(BITS)).astype(np.int64)
-    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(bool)).view(np.int64).tolist()
+def dense_sketch(members: np.ndarray, bits: int = BITS) -> list[int]:
+    """Parity of the members at each of ``bits`` places, as signed 64-bit numbers."""
+    place = (text.mix(members + np.uint64(0x452821E638D01377)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(bool)).view(np.int64).tolist()
 
 
 def may_link(a: str, b: str, percent: int) -> Column:

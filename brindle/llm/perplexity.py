@@ -18,9 +18,10 @@ the ``lowest`` and the ``highest`` quantile of the trusted documents of its lang
 length: text that says one word over and over is too probable or too improbable for its
 length, though not for a short one. Lengths are taken by powers of two. One trusted
 document in ``held`` (by a hash of its key) is not counted into the model, and the
-quantiles are those of these, so that they are what unseen good text looks like. Where
-fewer than ``least`` of them have a language and length, the quantiles of the language at
-all lengths hold, and if these are few, or the language is null, those of all.
+highest quantile is that of these, so that it is what unseen good text looks like; the
+lowest is that of all, as what is counted is more probable. Where fewer than ``least`` of
+the held have a language and length, the quantiles of the language at all lengths hold,
+and if these are few, or the language is null, those of all.
 """
 
 from __future__ import annotations
@@ -296,13 +297,17 @@ def classify(
     sized = scored.withColumn("size", F.greatest(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.floor(F.log2("n_bytes")))))
     sized = written(sized, "perplexities")
     # quantiles from sketches that merge: a row for each language and length, language, and all
-    known = sized.where("log_perplexity is not null").join(keys, F.col("key") == F.col("trusted"), "left_semi").where(held)
-    cuts = F.percentile_approx("log_perplexity", [settings.lowest, settings.highest], settings.accuracy)
-    known = known.where("carried is not null").rollup("carried", "size").agg(
-        cuts.alias("cuts"), F.count("*").alias("n"), F.grouping_id().alias("level")
-    ).unionByName(known.agg(cuts.alias("cuts"), F.count("*").alias("n")).select(
-        F.lit(None).cast("string").alias("carried"), F.lit(None).cast("bigint").alias("size"), "cuts", "n", F.lit(7).cast("bigint").alias("level")
-    ))
+    known = sized.where("log_perplexity is not null").join(keys, F.col("key") == F.col("trusted"), "left_semi")
+    cut = [
+        F.percentile_approx("log_perplexity", settings.lowest, settings.accuracy),
+        F.percentile_approx(F.when(held, F.col("log_perplexity")), settings.highest, settings.accuracy),
+    ]
+    found = (F.array(*cut).alias("cuts"), F.count_if(held).alias("n"))
+    known = known.where("carried is not null").rollup("carried", "size").agg(*found, F.grouping_id().alias("level")).unionByName(
+        known.agg(*found).select(
+            F.lit(None).cast("string").alias("carried"), F.lit(None).cast("bigint").alias("size"), "cuts", "n", F.lit(7).cast("bigint").alias("level")
+        )
+    )
     quantiles = written(known, "perplexity-quantiles").where((F.col("n") >= settings.least) | (F.col("level") == 7))
     of_size = quantiles.where("level = 0").select(F.col("carried").alias("lang_a"), F.col("size").alias("size_a"), F.col("cuts").alias("cuts_a"))
     of_lang = quantiles.where("level = 1").select(F.col("carried").alias("lang_b"), F.col("cuts").alias("cuts_b"))
