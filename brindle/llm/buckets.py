@@ -141,16 +141,16 @@ def linked(
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "content_a", "content_b")
         return written(verify(both).select("a", "b"), "links")
 
-    def considered(pairs: DataFrame) -> DataFrame:
+    def considered(pairs: DataFrame, of_nodes: DataFrame | None) -> DataFrame:
         pairs = written(pairs, "pairs")
-        if traits is None:
+        if of_nodes is None:
             return pairs
-        known = traits.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        known = of_nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
         ends = [known.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in known.columns]) for x in "ab"]
         likely = pairs.join(ends[0], "a").join(ends[1], "b").where(may_link("a_", "b_", percent)).select("a", "b")
         return written(likely, "likely-pairs")
 
-    pairs = considered(_small_and_star(shared))
+    pairs = considered(_small_and_star(shared), traits)
     # the partner that is met most often, as hubs are
     often = pairs.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count("*").alias("n"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(often, "a")
@@ -167,14 +167,14 @@ def linked(
         return roots
     full = loaded(active)
     dealt = members(full)
+    if traits is None:
+        traits = written(dealt.where("sketch is not null").select("node", "n", "sketch"), "traits")
     shared = shared_buckets(rarest(dealt.select("node", "n", "member"), percent))
-    links = links.unionByName(verified(considered(_across(_small_and_star(shared), roots)), full))
+    links = links.unionByName(verified(considered(_across(_small_and_star(shared), roots), traits), full))
     roots = components(links)
     opened = _open(shared.where(F.col("n_nodes") > FEW), roots)
     if opened.isEmpty():
         return roots
-    if traits is None:
-        traits = written(dealt.where("sketch is not null").select("node", "n", "sketch"), "traits")
     return components(links.unionByName(verified(_strays(opened, traits, percent), full)))
 
 
