@@ -70,6 +70,27 @@ def test_common_anchors_are_taken_apart(spark):
     assert [got[i] for i in range(len(bodies))] == [sorted(g) for g in plainly(bodies, 30)]
 
 
+def test_anchors_of_many_bytes_are_taken_apart(spark, monkeypatch):
+    """One gram that is the least everywhere, in few texts, but long ones."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 64)
+    bodies = ["x" * 300 + chr(97 + k) * 40 + "x" * 200 for k in range(8)] + corpus(5)
+    docs = frame(spark, bodies).repartition(3)
+    settings = {"length": 30, "gram": 10, "string_bytes": 400}
+    got = {r.doc_id: positions(r.removed) for r in suffix_dedup.without_repeats(docs, **settings).collect()}
+    assert [got[i] for i in range(len(bodies))] == [sorted(g) for g in plainly(bodies, 30)]
+
+
+def test_strings_of_more_than_two_million_bytes():
+    """What one anchor holds is decided, however long it is."""
+    draw = np.random.default_rng(3)
+    passage = draw.integers(97, 123, 500, np.uint8).tobytes()
+    parts = [draw.integers(97, 123, 750_000, np.uint8).tobytes() for _ in range(3)]
+    contents = [parts[0] + passage, passage + parts[1], parts[2]]
+    got = suffix_dedup.repeated(contents, [1, 1, 1])
+    assert sum(map(len, contents)) > 1 << 21
+    assert [np.flatnonzero(g).tolist() for g in got] == [[*range(750_000, 750_101)], [*range(101)], []]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_interval_expansion_gives_common_prefixes(seed):
     draw, length = random.Random(seed), 1 + 3 * seed
