@@ -9,9 +9,10 @@ below. Contexts that begin before the text's start are zero bytes.
 To score, the whole model is looked up, in passes over the texts: what is known of a
 byte after two given bytes lies together, so the tables are cut by these two bytes into
 shards of about ``Settings.entries`` runs (a single pair of bytes has less than 2^25), and
-a pass broadcasts one shard and scores the bytes that belong to it. More trusted text
-makes more passes, not larger broadcasts; a document's parts are added up by the hashes
-of its text.
+a pass scores the bytes that belong to one shard. A shard is a file that Spark hands to the
+executors, where each worker puts it into hash tables; the driver knows its name only. More
+trusted text makes more passes, not larger shards; a document's parts are added up by the
+hashes of its text.
 
 A document's perplexity is that of its whole text per byte. It is kept if it lies between
 the ``lowest`` and the ``highest`` quantile of the trusted documents of its language and
@@ -26,12 +27,15 @@ and if these are few, or the language is null, those of all.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,16 +184,37 @@ class Table:
         return found, np.where(found, self.values[place], np.float32(0))
 
 
+@functools.lru_cache(maxsize=1)
+def _tables(file: str) -> tuple[list[Table], list[Table]]:
+    """Log probabilities and log shares left over, by order, of one of Spark's files; a
+    worker keeps those of its last shard."""
+    rows = pq.ParquetFile(SparkFiles.get(file)).read()
+    kinds, runs, values = (rows.column(c).to_numpy() for c in ("kind", "run", "v"))
+
+    def of_kind(kind: int) -> Table:
+        some = kinds == kind
+        return Table(runs[some].astype(np.uint64), values[some])
+
+    return [of_kind(k) for k in range(1, ORDER + 1)], [of_kind(-k) for k in range(1, ORDER + 1)]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Log probabilities and log shares left over, by order, of the bytes that follow the
-    pairs from ``first`` to before ``end``."""
+    """What is known of the bytes that follow the pairs from ``first`` to before ``end``, in
+    a file among Spark's files."""
 
-    known: list[Table]
-    left: list[Table]
+    file: str
     first: int = 0
     end: int = 1 << 16
 
+    @property
+    def known(self) -> list[Table]:
+        return _tables(self.file)[0]
+
+    @property
+    def left(self) -> list[Table]:
+        return _tables(self.file)[1]
+
 
 def fit(trusted: DataFrame, body: str = "text", settings: Settings = Settings()) -> Iterator[Model]:
     """The shards of the model of all trusted texts, one after another; without any text
@@ -210,28 +235,27 @@ def fit(trusted: DataFrame, body: str = "text", settings: Settings = Settings())
             held = 0
         held += n
     for first, end in zip(bounds, [*bounds[1:], 1 << 16]):
-        own = rows.where((F.col("pair") < 0) | (F.col("pair") >= first) & (F.col("pair") < end)).drop("pair").toPandas()
-        tables = {}
-        for kind in (*range(1, ORDER + 1), *range(-ORDER, 0)):
-            some = own[own["kind"] == kind]
-            tables[kind] = Table(some["run"].to_numpy(np.int64).astype(np.uint64), some["v"].to_numpy(np.float64))
-        yield Model([tables[k] for k in range(1, ORDER + 1)], [tables[-k] for k in range(1, ORDER + 1)], first, end)
+        own = rows.where((F.col("pair") < 0) | (F.col("pair") >= first) & (F.col("pair") < end)).drop("pair")
+        place = written(own.coalesce(1), "byte-shard").inputFiles()[0]  # one task, one file
+        trusted.sparkSession.sparkContext.addFile(place)
+        yield Model(place.rsplit("/", 1)[1], first, end)
 
 
 def log_likelihoods(data: np.ndarray, at: np.ndarray, model: Model) -> np.ndarray:
     """Natural log likelihood of each whole text, as far as the shard says."""
     out, place = padded(data, at)
     run = byte_runs(out, place)
+    known, shares = model.known, model.left
     score = np.zeros(len(run), np.float64)
     pair = (run >> np.uint64(8)) & np.uint64(0xFFFF)
     left = np.flatnonzero((pair >= np.uint64(model.first)) & (pair < np.uint64(model.end)))
     run = run[left]
     for order in range(ORDER, 0, -1):
         own = run & np.uint64((1 << 8 * order) - 1)
-        found, value = model.known[order - 1].look_up(own)
+        found, value = known[order - 1].look_up(own)
         score[left[found]] += value[found]
         left, run, own = left[~found], run[~found], own[~found]
-        seen, value = model.left[order - 1].look_up(own >> np.uint64(8))
+        seen, value = shares[order - 1].look_up(own >> np.uint64(8))
         score[left] += value
         if not len(left):
             break
@@ -242,14 +266,13 @@ def log_likelihoods(data: np.ndarray, at: np.ndarray, model: Model) -> np.ndarra
 
 def _scored(documents: DataFrame, model: Model, key: str, body: str, carried: str) -> DataFrame:
     """``key``, ``carried``, ``t1``, ``t2``, ``n_bytes`` and ``part``, what the shard says of the text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     kinds = [documents.schema[c].dataType.simpleString() for c in (key, carried)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, at in text.pieces(batch.column(4)):
                 own = [column[lo:hi] for column in batch.columns[:4]]
-                part = pa.array(log_likelihoods(data, at, shared.value))
+                part = pa.array(log_likelihoods(data, at, model))
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(np.diff(at)), part], ["key", "carried", "t1", "t2", "n_bytes", "part"]
                 )
@@ -257,9 +280,7 @@ def _scored(documents: DataFrame, model: Model, key: str, body: str, carried: st
     rows = documents.select(F.col(key).alias("key"), F.col(carried).alias("carried"), F.col(body).alias("body"))
     rows = rows.select("key", "carried", F.xxhash64("body").alias("t1"), F.xxhash64(F.lit("other"), "body").alias("t2"), "body")
     schema = f"key {kinds[0]}, carried {kinds[1]}, t1 bigint, t2 bigint, n_bytes bigint, part double"
-    out = written(rows.mapInArrow(run, schema), "perplexity-parts")
-    shared.destroy()
-    return out
+    return written(rows.mapInArrow(run, schema), "perplexity-parts")
 
 
 def score(documents: DataFrame, models: Iterable[Model], key: str, body: str, carried: str) -> DataFrame:

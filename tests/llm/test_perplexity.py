@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 from collections import Counter, defaultdict
 
@@ -65,6 +66,15 @@ def test_likelihoods_are_those_of_the_plain_model(spark, entries, shards):
         assert g == pytest.approx(want, abs=1e-5 * (1 + len(raw)))
 
 
+def test_the_driver_holds_no_runs(spark, monkeypatch):
+    """A shard goes to the executors as a file, whatever its size."""
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", None)
+    texts = [f"{k * k} cats sat on {k} mats" for k in range(300)]
+    (model,) = perplexity.fit(frame(spark, texts))
+    assert len(pickle.dumps(model)) < 1000 < len(model.known[-1].runs)
+    assert len(pickle.dumps(model)) < 1000
+
+
 def test_probabilities_sum_to_one(spark):
     p = kneser_ney(TRUSTED)
     for context in (b"the ", b"cat ", b"zzzz"):
