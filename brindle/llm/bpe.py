@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -59,6 +60,21 @@ def _class(ranges: Iterable[tuple[int, int]]) -> str:
 
 
 _ODD = regex.compile(_class([*_NO_LETTERS, *((first, last) for first, last, _ in _CAPITALS)]))
+# Nothing below this code point is odd, and only two capitals have lower case above it.
+LOW = 0x531
+_HIGH = re.compile(_class([(0x23A, 0x23A), (0x23E, 0x23E), (LOW, 0x10FFFF)]))
+
+
+def _low_pattern(pattern: str) -> re.Pattern | None:
+    """The same pattern for texts of code points below ``LOW`` only, its classes spelled out;
+    none if it has more than bracketed white space, letters and digits."""
+    if re.search(r"[\\\[.]", re.sub(r"\[\^?(?:\\s|\\p\{[LN]\})+\]", "", pattern)):
+        return None
+    for name in (r"\s", r"\p{L}", r"\p{N}"):
+        of_class = regex.compile(name).match
+        points = "".join(chr(c) for c in range(LOW) if of_class(chr(c)))
+        pattern = pattern.replace(name, re.escape(points))
+    return re.compile(pattern)
 
 
 def byte_letters() -> list[str]:
@@ -132,19 +148,25 @@ class Merger:
         self._made = np.array([ids[a + b] for a, b in vocabulary.ranks], np.int64)
         order = np.argsort(pair)
         self._pairs, self._ranks = pair[order], order
-        # a slot that no pair hashes to needs no search
-        self._taken = np.zeros(1 << 22, bool)
-        self._taken[self._slot(pair)] = True
+        # a slot has the place of the one pair that hashes to it, -1 for none, -2 for several
+        slot = self._slot(self._pairs)
+        self._place = np.full(1 << 20, -1, np.int32)
+        self._place[slot] = np.arange(len(slot))
+        several = np.flatnonzero(np.bincount(slot) > 1)
+        self._place[several] = -2
 
     @staticmethod
     def _slot(pair: np.ndarray) -> np.ndarray:
-        return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
+        return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
 
     def _rank(self, pair: np.ndarray) -> np.ndarray:
         out = np.full(len(pair), self._never)
-        maybe = np.flatnonzero(self._taken[self._slot(pair)])
-        at = np.minimum(np.searchsorted(self._pairs, pair[maybe]), self._never - 1)
-        out[maybe] = np.where(self._pairs[at] == pair[maybe], self._ranks[at], self._never)
+        place = self._place[self._slot(pair)]
+        maybe = np.flatnonzero(place != -1)
+        at, asked = place[maybe].astype(np.int64), pair[maybe]
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self._pairs, asked[several]), self._never - 1)
+        out[maybe] = np.where(self._pairs[at] == asked, self._ranks[at], self._never)
         return out
 
     def __call__(self, words: Sequence[bytes]) -> list[np.ndarray]:
@@ -184,15 +206,17 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: str | None = None) -> None:
         self._lexicon = Lexicon(lexicon) if lexicon else None
         self._merge = Merger(vocabulary)
-        self._strings = np.array([""] * (max(vocabulary.ids.values()) + 1), object)
+        self._said_of = [b""] * (max(vocabulary.ids.values()) + 1)
         for string, number in vocabulary.ids.items():
-            self._strings[number] = string
+            self._said_of[number] = string.encode()
         self._special = {w: (np.array([i], "<u4").tobytes(), w.encode()) for w, i in vocabulary.special.items()}
         self._ids: dict[str, bytes] = {}
         self._said: dict[str, bytes] = {}
         self._find = regex.compile(vocabulary.pattern).findall
         letters = rf"[\p{{L}}--{_class(_NO_LETTERS)}]"
         self._find_odd = regex.compile("(?V1)" + vocabulary.pattern.replace(r"\p{L}", letters)).findall
+        low = _low_pattern(vocabulary.pattern)
+        self._find_low = low.findall if low else self._find
         self._cut = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
 
     def _split(self, body: str) -> list[str]:
@@ -206,9 +230,11 @@ class Encoder:
     def _words(self, body: str) -> list[str]:
         if not body.isascii():
             body = unicodedata.normalize("NFC", body).replace("Σ", "σ")
-            if _ODD.search(body):
-                return self._find_odd(body.translate(_LOWER).lower())
-        return self._find(body.lower())
+            if _HIGH.search(body):
+                if _ODD.search(body):
+                    return self._find_odd(body.translate(_LOWER).lower())
+                return self._find(body.lower())
+        return self._find_low(body.lower())
 
     def _learn(self, words: set[str]) -> None:
         """Take the ids of new words from the lexicon, and merge those it does not have."""
@@ -223,9 +249,12 @@ class Encoder:
         unseen = [k for k, i in enumerate(ids) if i is None]
         for k, merged in zip(unseen, self._merge([raw[k] for k in unseen])):
             ids[k] = merged
-        for word, found in zip(fresh, ids):
-            self._ids[word] = found.astype("<u4").tobytes()
-            self._said[word] = " ".join(self._strings[found]).encode()
+        said_of, raw = self._said_of, np.concatenate([*ids, np.zeros(0)]).astype("<u4")
+        numbers, raw, at = raw.tolist(), raw.tobytes(), 0
+        for word, n in zip(fresh, map(len, ids)):
+            self._ids[word] = raw[4 * at : 4 * (at + n)]
+            self._said[word] = said_of[numbers[at]] if n == 1 else b" ".join([said_of[i] for i in numbers[at : at + n]])
+            at += n
 
     def __call__(self, bodies: Sequence[str]) -> list[tuple[bytes, bytes]]:
         """For each text its ids as little-endian 32-bit numbers and their decoding in UTF-8."""

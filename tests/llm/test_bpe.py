@@ -96,3 +96,19 @@ def test_counts_cover_all_texts(spark):
 def test_other_files_are_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         bpe.Vocabulary.load(tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_texts_of_low_code_points_are_split_alike():
+    vocabulary = bpe.Vocabulary.load(PATH)
+    encoder = bpe.Encoder(vocabulary)
+    assert encoder._find_low != encoder._find and bpe._low_pattern(r"\w+") is None and bpe._low_pattern("[a-z]") is None
+    for c in map(chr, range(0xD800)):
+        assert bool(bpe._HIGH.search(c)) == (ord(c) >= bpe.LOW or ord(c) in (0x23A, 0x23E))
+        if not bpe._HIGH.search(c):
+            assert not bpe._ODD.search(c) and ord(max(c.lower())) < bpe.LOW
+            for body in (f"a{c}b", f"1{c}{c} ", f".{c}'s", c):
+                assert encoder._find_low(body) == encoder._find(body)
+    draw = random.Random(8)
+    for _ in range(300):
+        body = "".join(draw.choices([chr(c) for c in range(0x20, bpe.LOW)] + list("   '''stm\n"), k=200))
+        assert encoder._find_low(body) == encoder._find(body)
