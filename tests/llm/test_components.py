@@ -20,3 +20,14 @@ def test_components(spark, kind):
     nodes = sorted({n for p in pairs for n in p})
     want = brute(nodes, lambda a, b: frozenset((a, b)) in pairs)
     assert got == {n: r for n, r in want.items() if n != r}
+
+
+def test_a_tree_is_flattened_by_its_own_links(spark, monkeypatch):
+    """Rounds over trees only look up what a node hangs on: no node is counted more than once before."""
+    places = []
+    written = components_module.written
+    monkeypatch.setattr(components_module, "written", lambda rows, purpose: places.append(set(rows.columns)) or written(rows, purpose))
+    chain = spark.createDataFrame([(k, k + 1) for k in range(64)], "a bigint, b bigint")
+    assert sorted(map(tuple, components_module.components(chain).collect())) == [(k, 0) for k in range(1, 65)]
+    assert {"u", "v", "moved"} in places
+    assert components_module.components(chain.where("a < 0")).count() == 0
