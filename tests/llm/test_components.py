@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from brindle.llm import components as components_module
 from brindle.llm.components import components
 from tests.llm.helpers import components as brute
 
